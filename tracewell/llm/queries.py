@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracewell.llm import bpe, packing
+from tracewell.llm import bpe, media, packing, quality
 from tracewell.llm.spark_util import table
 
 SPECIAL = {"<|endoftext|>": 50256}
@@ -24,8 +25,21 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.vocabulary())
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.add_score(docs, model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op10_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digest(table(spark, sf_dir, "documents"), lpc_order=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op8_quality_rules": op8_quality_rules,
+    "op10_flac_media": op10_flac_media,
 }
 SQL: dict[str, str] = {}
