@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import bpe, media, packing, quality
+from tracewell.llm import bpe, media, ngram_join, packing, quality
 from tracewell.llm.spark_util import table
 
 SPECIAL = {"<|endoftext|>": 50256}
@@ -21,6 +21,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.vocabulary())
 
@@ -38,6 +42,7 @@ def op10_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op8_quality_rules": op8_quality_rules,
     "op10_flac_media": op10_flac_media,
