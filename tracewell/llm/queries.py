@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import bpe, media, ngram_join, packing, quality
+from tracewell.llm import bpe, media, near_vectors, ngram_join, packing, quality
 from tracewell.llm.spark_util import table
 
 SPECIAL = {"<|endoftext|>": 50256}
@@ -17,6 +17,10 @@ def pack_documents(docs: DataFrame) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, bpe.vocabulary("byte_bpe_50k.tiktoken"), bpe.PATTERN, SPECIAL))
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def op10_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_vectors": op1_near_vectors,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_bpe_round_trip": op6_bpe_round_trip,
