@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import bpe, media, near_vectors, ngram_join, packing, quality
+from tracewell.llm import bpe, html_crf, line_dedup, media, near_vectors, ngram_join, packing, quality
 from tracewell.llm.spark_util import table
 
 SPECIAL = {"<|endoftext|>": 50256}
@@ -21,6 +21,10 @@ def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.vocabulary())
 
 
+def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -46,9 +54,11 @@ def op10_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
+    "op2_html_main_text": op2_html_main_text,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op7_line_templates": op7_line_templates,
     "op8_quality_rules": op8_quality_rules,
     "op10_flac_media": op10_flac_media,
 }
