@@ -8,9 +8,12 @@ indexed, for two sets that share no rare shingle in their prefixes share two fre
 How it is spread:
 - Sets are numbered by a hash of their shingles, so copies of a text are one set, wherever they are.
 - Shingles travel in packed, sorted arrays by hash bucket, not as rows; a bucket's task counts them and sends on those held twice.
-- First every set of an index list is compared with the list's smallest only. The linked ones are joined to components, and a list
-  whose sets are all in one component is done with. What is left are pairs across components, which are compared one by one; so
-  a group of many near copies costs a comparison each, not one for each pair, and no link between components is lost.
+- First sets that share a band of minima of hashes are compared with the band's smallest set only, and the linked ones are joined to
+  components. An index list whose sets are all in one component is then done with. What is left are pairs across components, found
+  through the index; so a group of many near copies costs some comparisons each, not one for each pair, and no link between
+  components is lost.
+- Before two sets are brought together, bounds rule out most pairs: the places of the shared shingles in the order, the numbers of
+  shingles that nobody shares, and the bits in which two parity bitmaps differ, each of which stands for a shingle that only one has.
 
 A shingle is known by 48 bits of a hash where sets are compared, a set by 64.
 
@@ -32,7 +35,8 @@ from pyspark.sql import functions as F
 
 from tracewell.llm.spark_util import components, cut
 
-WORDS, PERCENT, FREQUENT = 5, 80, 32
+WORDS, PERCENT, FREQUENT = 5, 80, 128
+BANDS, BAND_ROWS = 16, 3
 _FLUSH_TOKENS, _FLUSH_SETS = 6_000_000, 60_000
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
@@ -166,7 +170,29 @@ def _shared(group: pd.DataFrame, bits: int) -> pd.DataFrame:
 
 
 _SHARED = "own int, hi binary, lo binary, at binary, df binary, nodes binary, sizes binary"
-_INDEXED = "node long, n int, shared binary, prefix binary, df binary, single int"
+_INDEXED = "node long, n int, alone int, s0 long, s1 long, s2 long, s3 long, bands array<long>, shared binary, prefix binary, df binary, single int"
+_BOUNDS = ["node", "n", "alone", "s0", "s1", "s2", "s3"]
+
+
+def _parity(tokens: np.ndarray) -> list[int]:
+    """256 bits; each token turns one of them."""
+    bits = np.bincount((_mix(tokens.view(_U)) >> _U(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
+
+
+_SEEDS = _mix(np.arange(1, BANDS * BAND_ROWS + 1).astype(_U))
+
+
+def _bands(tokens: np.ndarray) -> list[int]:
+    low = np.array([_mix(tokens.view(_U) ^ s).min() for s in _SEEDS]).reshape(BANDS, BAND_ROWS)
+    return _mix(_mix(low[:, 0] + np.arange(BANDS).astype(_U)) ^ _mix(low[:, 1]) * _ODD ^ _mix(low[:, 2] + _ODD)).view(np.int64).tolist()
+
+
+def _may_link(percent: int) -> str:
+    """SQL: the bounds don't rule out that sets a and b link."""
+    need = f"((n_a + n_b) * {percent} + {99 + percent}) div {100 + percent}"
+    differ = " + ".join(f"bit_count(s{i}_a ^ s{i}_b)" for i in range(4))
+    return f"{differ} + alone_a + alone_b <= n_a + n_b - 2 * ({need})"
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -196,12 +222,13 @@ def _prefixes(group: pd.DataFrame, percent: int) -> pd.DataFrame:
         single = prefix_length(n, percent) - (n - (b - a))
         if single > 0:
             part = slice(a, min(b, a + single + 1))
-            out.append((int(ids[i]), n, np.sort(tok[a:b]).tobytes(), tok[part].tobytes(), df[part].tobytes(), single))
-    return pd.DataFrame(out, columns=["node", "n", "shared", "prefix", "df", "single"])
+            shared = np.sort(tok[a:b])
+            out.append((int(ids[i]), n, n - (b - a), *_parity(shared), _bands(shared), shared.tobytes(), tok[part].tobytes(), df[part].tobytes(), single))
+    return pd.DataFrame(out, columns=["node", "n", "alone", "s0", "s1", "s2", "s3", "bands", "shared", "prefix", "df", "single"])
 
 
 def _entries(indexed: DataFrame) -> DataFrame:
-    """(token, df, node, n, single): a row for each shingle of the extended prefixes; single: it is in the prefix itself."""
+    """(token, df, node, place, single): a row for each shingle of the extended prefixes. place: its number in the set's order; single: it is in the prefix itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -209,10 +236,12 @@ def _entries(indexed: DataFrame) -> DataFrame:
                 continue
             toks = [np.frombuffer(x.as_py(), np.int64) for x in b.column(2)]
             count = np.array([len(t) for t in toks])
-            single = np.concatenate([np.arange(c) for c in count]) < np.repeat(b.column(4).to_numpy(), count)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(toks)), pa.array(np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in b.column(3)])), pa.array(np.repeat(b.column(0).to_numpy(), count)), pa.array(np.repeat(b.column(1).to_numpy(), count)), pa.array(single)], names=["token", "df", "node", "n", "single"])
+            place = np.concatenate([np.arange(c) for c in count])
+            single = place < np.repeat(b.column(4).to_numpy(), count)
+            place = (place + np.repeat(b.column(1).to_numpy(), count)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(toks)), pa.array(np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in b.column(3)])), pa.array(np.repeat(b.column(0).to_numpy(), count)), pa.array(place), pa.array(single)], names=["token", "df", "node", "place", "single"])
 
-    return indexed.select("node", "n", "prefix", "df", "single").mapInArrow(run, "token long, df long, node long, n int, single boolean")
+    return indexed.select("node", "alone", "prefix", "df", "single").mapInArrow(run, "token long, df long, node long, place int, single boolean")
 
 
 def _verified(pairs: DataFrame, indexed: DataFrame, percent: int) -> DataFrame:
@@ -239,23 +268,27 @@ def links(docs: DataFrame, n_rows: int, words: int = WORDS, percent: int = PERCE
     indexed = cut(shared.groupBy("own").applyInPandas(lambda g: _prefixes(g, percent), _INDEXED))
     entries = cut(_entries(indexed))
 
-    leaders = entries.where("single").groupBy("token").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1").drop("c")
-    shares = entries.where("single").join(leaders, "token").where("node <> leader").groupBy("node", "leader").count()
-    stars = shares.groupBy("node").agg(F.max_by("leader", F.struct("count", "leader")).alias("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    first = cut(_verified(stars, indexed, percent))
+    known_as = lambda c, df: df.select(*[F.col(x).alias(c if x == "node" else f"{x}_{c}") for x in _BOUNDS])
+    bounds = known_as("a", indexed)
+    banded = indexed.select(F.explode("bands").alias("band"), F.struct(*_BOUNDS).alias("x"))
+    leaders = banded.groupBy("band").agg(F.min("x").alias("y"), F.count("*").alias("c")).where("c > 1")
+    stars = banded.join(leaders, "band").where("x.node <> y.node")
+    stars = stars.select(*[F.col(f"x.{n}").alias("a" if n == "node" else f"{n}_a") for n in _BOUNDS], *[F.col(f"y.{n}").alias("b" if n == "node" else f"{n}_b") for n in _BOUNDS])
+    first = cut(_verified(stars.where(_may_link(percent)).select("a", "b").distinct(), indexed, percent))
     known = components(first)
 
-    placed = entries.join(known.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = cut(placed)
+    placed = cut(entries.join(known.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node")))
     open_ = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    live = cut(placed.join(open_, "token"))
-    single = live.where(f"single AND df <= {frequent}").select(F.col("token").alias("key"), F.lit(0).cast("long").alias("key2"), "node", "n", "component")
-    often = live.where(f"df > {frequent}").groupBy("node", "n", "component").agg(F.sort_array(F.collect_list("token")).alias("t"))
-    two = often.select("node", "n", "component", "t", F.posexplode("t").alias("i", "key")).select("key", F.explode(F.expr("slice(t, i + 2, size(t))")).alias("key2"), "node", "n", "component")
-    index = single.unionByName(two)
-    left = index.select("key", "key2", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = index.select("key", "key2", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    pairs = left.join(right, ["key", "key2"]).where(f"a < b AND c_a <> c_b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b").distinct()
+    live = cut(placed.join(open_, "token").join(bounds.withColumnRenamed("a", "node"), "node"))
+    rest = ["node", "component", *[f"{x}_a" for x in _BOUNDS[1:]]]
+    single = live.where(f"single AND df <= {frequent}").select(F.col("token").alias("key"), F.lit(0).cast("long").alias("key2"), "place", *rest)
+    often = live.where(f"df > {frequent}").groupBy(*rest).agg(F.sort_array(F.collect_list(F.struct("place", "token", "single"))).alias("t"))
+    two = often.select(*rest, "t", F.posexplode("t").alias("i", "x")).where("x.single").select(F.col("x.token").alias("key"), F.explode(F.expr("slice(t, i + 2, size(t))")).alias("y"), *rest)
+    two = two.select("key", F.col("y.token").alias("key2"), (F.col("y.place") - 1).alias("place"), *rest)
+    left = single.unionByName(two).withColumnsRenamed({"node": "a", "component": "c_a", "place": "p_a"})
+    right = left.withColumnsRenamed({"a": "b", **{c: c[:-1] + "b" for c in left.columns if c.endswith("_a")}})
+    reach = f"{100 + percent} * least(n_a - p_a, n_b - p_b) >= {percent} * (n_a + n_b)"  # what can still be shared from here on
+    pairs = left.join(right, ["key", "key2"]).where(f"a < b AND c_a <> c_b AND {reach} AND {_may_link(percent)}").select("a", "b").distinct()
     return first.unionByName(_verified(pairs, indexed, percent))
 
 
