@@ -1,0 +1 @@
+"""Evidence retrieval over page and post corpora on Spark: chunks, keyword and vector search, entities, claims and audits."""

@@ -1 +1 @@
-"""See README.md."""
+"""DataFrame operators: corpus, keyword, vectors, entities, claims, retrieval, policy and audits."""

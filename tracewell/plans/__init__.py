@@ -1 +1 @@
-"""See README.md."""
+"""Named queries over the tables, and their DuckDB counterparts."""

@@ -1,14 +1,298 @@
-"""Queries of the engine by name, with DuckDB SQL of the same rows."""
+"""Queries of the engine by name, with DuckDB SQL of the same rows where SQL can express them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from tracewell.functions import rules as R
+from tracewell.functions import text as T
+from tracewell.operators import audits, claims, corpus, entities, keyword, policy, retrieval, vectors
+from tracewell.sources import pages as sources
+
+#: Queries of the catalogue's searches, and its clock.
+ASKED = [
+    ("q1", "Redmi Note 10 Pro bootloop boot.img V14.0.7.0"),
+    ("q2", "flash recovery.img with fastboot after update HyperOS 2.0.5"),
+    ("q3", "the of and that thing"),
+    ("q4", "do not install recovery.img Xiaomi 13T aristotle"),
+    ("q5", "Magisk root boot.img MIUI 2306EPN60G"),
+    ("q6", "Licensed under the Apache License, Version 2.0."),
+]
+NOW = "2026-01-08T00:00:00Z"
+TERMS = ["en/4", "the"]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _posts(spark: SparkSession, sf_dir: str, decorated: bool = True) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return corpus.posts_from_documents(corpus.decorate(docs) if decorated else docs)
+
+
+def _index(spark: SparkSession, sf_dir: str) -> keyword.Index:
+    return keyword.build(_posts(spark, sf_dir))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return keyword_search(spark, sf_dir)
+
+
+def token_counts(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", T.tokens(F.coalesce("text", F.lit(""))).alias("t"), T.aliases(F.coalesce("text", F.lit(""))).alias("a"))
+    return docs.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.size(T.exact_terms(F.col("t"))).cast("long").alias("n_exact"), F.size("a").cast("long").alias("n_aliases"))
+
+
+def technical_aliases(spark, sf_dir):
+    return _posts(spark, sf_dir).select("post_id", F.array_join(F.array_sort(T.aliases(F.col("text"))), ",").alias("aliases"))
+
+
+def term_stats(spark, sf_dir):
+    return _index(spark, sf_dir).postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+
+
+def corpus_stats(spark, sf_dir):
+    index = _index(spark, sf_dir)
+    return index.corpus.select("doc_count", F.round("avg_len", 6).alias("avg_len")).crossJoin(index.terms.agg(F.count("*").alias("term_count"))).crossJoin(index.exact.agg(F.count("*").alias("exact_postings")))
+
+
+def exact_terms(spark, sf_dir):
+    return _index(spark, sf_dir).exact.groupBy("term").agg(F.count("*").alias("df"), F.min("key").alias("first_key"))
+
+
+def query_terms(spark, sf_dir):
+    q = keyword.analyse(spark, ASKED)
+    join = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), "|").alias(c)
+    return q.select("query_id", keyword.packet_id(F.col("query")).alias("packet_id"), *map(join, ["terms", "exact_terms", "phrases"]))
+
+
+def specific_terms(spark, sf_dir):
+    return keyword.specific_terms(_index(spark, sf_dir), keyword.analyse(spark, ASKED))
+
+
+def keyword_search(spark, sf_dir, k: int = 10):
+    found = keyword.search(_index(spark, sf_dir), keyword.analyse(spark, ASKED), k)
+    return found.select("query_id", "rank", "key", "score", "bm25", "exact", "phrase", F.array_join("matched_specific_terms", "|").alias("specific"), "snippet")
+
+
+def hashed_vectors(spark, sf_dir):
+    v = vectors.vectors(_index(spark, sf_dir).docs, "key")
+    return v.groupBy("bucket").agg(F.count("*").alias("docs"), F.round(F.sum(F.abs("w")), 3).alias("weight"), F.max("w").alias("top"))
+
+
+def blake_vectors(spark, sf_dir):
+    return vectors.vectors(_index(spark, sf_dir).docs, "key", family="blake2b")
+
+
+def vector_search(spark, sf_dir, k: int = 10):
+    index = _index(spark, sf_dir)
+    return vectors.search(vectors.vectors(index.docs, "key"), index.docs, keyword.analyse(spark, ASKED), k)
+
+
+def hybrid_search(spark, sf_dir, k: int = 10):
+    index, q = _index(spark, sf_dir), keyword.analyse(spark, ASKED)
+    arm = max(4 * k, 80)
+    both = vectors.hybrid(keyword.search(index, q, arm), vectors.search(vectors.vectors(index.docs, "key"), index.docs, q, arm), k)
+    return both.select("query_id", "rank", "key", "score", "keyword_rank", "vector_rank")
+
+
+def chunks(spark, sf_dir):
+    return corpus.chunks(_posts(spark, sf_dir)).select("chunk_id", "post_id", "chunk_index", "char_start", "char_end", "text")
+
+
+def chunk_search(spark, sf_dir, k: int = 5):
+    units = corpus.chunks(_posts(spark, sf_dir)).withColumn("ord", F.struct("ord", "chunk_index"))
+    found = keyword.search(keyword.build(units, "chunk_id"), keyword.analyse(spark, ASKED), k)
+    return found.select("query_id", "rank", "key", "post_id", "char_start", "char_end", "score", "snippet")
+
+
+def entity_mentions(spark, sf_dir):
+    found = entities.mentions(entities.with_entities(_posts(spark, sf_dir)))
+    return found.groupBy("kind", "value").agg(F.count("*").alias("posts"), F.min("post_id").alias("first_post"))
+
+
+def relation_edges(spark, sf_dir):
+    found = entities.relations(entities.with_entities(_posts(spark, sf_dir)))
+    return found.select("edge_id", "kind", "from_node", "to_node", "post_id", "confidence")
+
+
+def graph_nodes(spark, sf_dir):
+    found = entities.graph_nodes(entities.with_entities(_posts(spark, sf_dir)))
+    return found.select("node_id", "kind", "label", F.size("source_refs").cast("long").alias("refs"), "confidence")
+
+
+def graph_edges(spark, sf_dir):
+    return entities.structural_edges(entities.with_entities(_posts(spark, sf_dir))).groupBy("kind", "confidence").agg(F.count("*").alias("edges"), F.countDistinct("edge_id").alias("distinct_edges"))
+
+
+def _claims(spark, sf_dir):
+    return claims.claims(entities.with_entities(_posts(spark, sf_dir)))
+
+
+def claim_rows(spark, sf_dir):
+    rows = claims.freshness_windows(_claims(spark, sf_dir))
+    joined = [F.array_join(c, "|").alias(c) for c in ("target_labels", "tool_labels", "condition_labels", "applicability_context", "risk_labels", "warning_labels")]
+    return rows.select("claim_id", "claim_kind", "method_id", "action", "label", *joined, "post_id", "confidence", "manual_review_required", "relation_key", "profile_window", "newer_related_count", "evidence_start")
+
+
+def claim_kinds(spark, sf_dir):
+    rows = _claims(spark, sf_dir)
+    return rows.groupBy("claim_kind", "method_kind", "action", "confidence").agg(F.count("*").alias("n"), F.count_if("manual_review_required").alias("manual"))
+
+
+def claim_edges(spark, sf_dir):
+    return claims.claim_edges(_claims(spark, sf_dir)).groupBy("kind").agg(F.count("*").alias("edges"), F.round(F.sum("confidence"), 4).alias("confidence"))
+
+
+def claim_cross_edges(spark, sf_dir):
+    return claims.cross_edges(_claims(spark, sf_dir)).groupBy("kind", "confidence", "manual_review_required").agg(F.count("*").alias("edges"), F.min("from_node").alias("first"))
+
+
+def claim_stats(spark, sf_dir):
+    rows = _claims(spark, sf_dir)
+    edges = claims.claim_edges(rows).select("kind").unionByName(claims.cross_edges(rows).select("kind"))
+    return claims.claim_stats(rows, edges)
+
+
+def graph_search(spark, sf_dir, k: int = 10):
+    posts = entities.with_entities(_posts(spark, sf_dir))
+    index, q = keyword.build(posts), keyword.analyse(spark, ASKED)
+    edges = entities.relations(posts).select("source_url", "kind", "from_node", "to_node", "confidence").unionByName(claims.claim_edges(claims.claims(posts)).select("source_url", "kind", "from_node", "to_node", "confidence"))
+    found = keyword.search(index, q, k)
+    wanted = retrieval.intents(q, keyword.specific_terms(index, q))
+    out = retrieval.rerank(found, retrieval.context_edges(found, edges), wanted)
+    return out.select("query_id", "graph_rank", "rank", "key", "score", "matching_edge_count", "matching_kinds", "matching_confidence", "graph_raw")
+
+
+def _urls(spark, sf_dir):
+    """Page addresses, and topic addresses made of page ids."""
+    p = _table(spark, sf_dir, "pages")
+    base = F.when(F.col("page_id") % 4 == 0, "http://").otherwise("https://")
+    host = F.when(F.col("page_id") % 5 == 0, "www.forum.example.org").otherwise("forum.example.org")
+    tail = F.when(F.col("page_id") % 6 == 0, "&act=search").when(F.col("page_id") % 6 == 1, "&st=").when(F.col("page_id") % 6 == 2, "#entry5").otherwise(F.concat(F.lit("&st="), (F.col("page_id") % 3 * 20).cast("string")))
+    topic = F.concat(base, host, F.lit("/index.php?showtopic="), (F.col("page_id") % 50).cast("string"), tail)
+    return p.select("page_id", "url").unionByName(p.select("page_id", topic.alias("url")))
+
+
+def url_policy(spark, sf_dir):
+    u = F.col("url")
+    return _urls(spark, sf_dir).select("page_id", "url", policy.allowed(u).alias("allowed"), F.when(policy.allowed(u), policy.canonical(u)).alias("canonical"), policy.topic_id(u).alias("topic_id"), policy.page_start(u).alias("page_start"))
+
+
+def page_titles(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", sources.title(F.col("html")).alias("title"))
+
+
+def page_links(spark, sf_dir):
+    return sources.links(_table(spark, sf_dir, "pages"))
+
+
+def page_texts(spark, sf_dir):
+    return sources.texts(_table(spark, sf_dir, "pages"))
+
+
+def _seeds(spark):
+    rows = [(i, f"s{i}", f"https://forum.example.org/index.php?showtopic={3 * i}&st={20 * (i % 3)}", f"f{i % 4}", i % 3 + 1) for i in range(10)]
+    return spark.createDataFrame(rows, "seed_ord int, seed_id string, url string, focus string, max_pages int")
+
+
+def _links(spark, sf_dir):
+    u = _urls(spark, sf_dir).where("url LIKE '%showtopic%'")
+    return u.select(F.concat(F.lit("https://forum.example.org/index.php?showtopic="), (F.col("page_id") % 9).cast("string")).alias("source_url"), F.concat(F.lit("label "), (F.col("page_id") % 4).cast("string")).alias("source_label"), F.col("page_id").alias("ord"), "url", F.concat(F.lit("topic "), (F.col("page_id") % 50).cast("string")).alias("anchor_text"))
+
+
+def _candidates(spark, sf_dir):
+    return audits.candidates(_links(spark, sf_dir), _seeds(spark), ["topic 7", "label 3"])
+
+
+def discovery_candidates(spark, sf_dir):
+    return _candidates(spark, sf_dir).withColumn("anchor_texts", F.array_join("anchor_texts", "|"))
+
+
+def seed_review(spark, sf_dir):
+    decisions = spark.createDataFrame([("https://forum.example.org/index.php?showtopic=7&st=20", "accept")], "url string, decision string")
+    rules = spark.createDataFrame([(0, "seed_topic_new_window", None, 3, "expand"), (1, None, "11", None, "reject"), (2, "unseeded_topic", None, 2, "watch")], "rule_ord int, candidate_kind string, topic_id string, min_source_count int, decision string")
+    return audits.review(_candidates(spark, sf_dir), decisions, rules).select("url", "candidate_kind", "source_count", "decision")
+
+
+def crawl_plan(spark, sf_dir):
+    return policy.crawl_plan(_seeds(spark), 8)
+
+
+def _fetched(spark, sf_dir):
+    e = _table(spark, sf_dir, "events")
+    return e.select(F.concat(F.lit("s"), (F.col("user_id") % 9).cast("string")).alias("seed_id"), (F.col("event_id") % 3 * 20).cast("string").alias("page_start")).where("seed_id <> 's4'")
+
+
+def coverage(spark, sf_dir):
+    return audits.coverage(policy.crawl_plan(_seeds(spark), 8), _fetched(spark, sf_dir))
+
+
+def missing_pages(spark, sf_dir):
+    return audits.missing_pages(policy.crawl_plan(_seeds(spark), 8), _fetched(spark, sf_dir))
+
+
+def _needs(spark):
+    return spark.createDataFrame([("n1", ["f0"], ["a"]), ("n2", ["f9"], ["a"]), ("n3", ["f0", "f1"], []), ("n4", ["f1"], ["a", "z"]), ("n5", ["f3"], ["b"])], "need_id string, seed_focus_any array<string>, eval_cases array<string>")
+
+
+def need_coverage(spark, sf_dir):
+    return audits.needs(_needs(spark), _seeds(spark), _fetched(spark, sf_dir))
+
+
+def route_ratio(spark, sf_dir):
+    return audits.route_ratio(_needs(spark), spark.createDataFrame([("a",), ("b",)], "case_id string"))
+
+
+def _receipts(spark, sf_dir):
+    stage = F.element_at(F.array(*map(F.lit, ["crawl", "normalize", "index", "vector", "graph"])), (F.col("event_id") % 5 + 1).cast("int"))
+    return _table(spark, sf_dir, "events").select(F.concat(F.lit("run"), F.col("user_id").cast("string")).alias("run_id"), stage.alias("stage"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id"))
+
+
+def refresh_audit(spark, sf_dir):
+    now = _receipts(spark, sf_dir).agg(F.max("at")).first()[0]
+    return audits.refresh(_receipts(spark, sf_dir), str(now), 168.0)
+
+
+def latest_receipts(spark, sf_dir):
+    return audits.latest_receipts(_receipts(spark, sf_dir)).select("stage", "run_id", "event_id")
+
+
+def dedupe_latest(spark, sf_dir):
+    return corpus.latest(_table(spark, sf_dir, "conversations"), ["conv_id", "role"], "turn", "text").select("conv_id", "role", "turn", "text")
+
+
+def _sources(spark):
+    rows = [(f"id{i}", f"https://forum.example.org/index.php?showtopic={i}&st={'x' if i % 5 == 0 else i * 20 - 20}", "topic" if i % 3 else "profile", "public" if i % 4 else "login", "none" if i % 6 else "images", ["Firmware", f"t{i % 3}"], i % 7 != 0) for i in range(30)]
+    return spark.createDataFrame(rows, "source_id string, source_ref string, kind string, access string, include_media string, tags array<string>, enabled boolean")
+
+
+def source_select(spark, sf_dir):
+    return policy.select_sources(_sources(spark), kinds=["topic"], tags=["T1", "t2"]).select("source_id", "source_ref", policy.source_id(F.col("kind"), F.col("source_ref")).alias("stable_id"))
+
+
+def preflight_errors(spark, sf_dir):
+    return policy.preflight_errors(_sources(spark))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        token_counts, technical_aliases, term_stats, corpus_stats, exact_terms, query_terms, specific_terms, keyword_search, hashed_vectors, blake_vectors, vector_search, hybrid_search,
+        chunks, chunk_search, entity_mentions, relation_edges, graph_nodes, graph_edges, claim_rows, claim_kinds, claim_edges, claim_cross_edges, claim_stats, graph_search,
+        url_policy, page_titles, page_links, page_texts, discovery_candidates, seed_review, crawl_plan, coverage, missing_pages, need_coverage, route_ratio, refresh_audit, latest_receipts, dedupe_latest, source_select, preflight_errors,
+    )
+}
+
+
+def _sql() -> dict[str, str]:
+    from tracewell.plans import oracles
+
+    return oracles.build(ASKED, R)
+
+
+SQL: dict[str, str] = _sql()

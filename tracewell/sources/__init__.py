@@ -1 +1 @@
-"""See README.md."""
+"""Sources: pages, their text, titles and links."""

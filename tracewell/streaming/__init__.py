@@ -1 +1 @@
-"""See README.md."""
+"""Structured Streaming ingest."""
