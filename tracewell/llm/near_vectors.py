@@ -1,7 +1,7 @@
 """Near-duplicate vectors by iterative quantisation and multi-index Hamming tables.
 
 Rotations are learned by iterative quantisation on a bounded sample: alternating between the signs of the rotated vectors and the best
-rotation towards them. A bit is set where a rotated coordinate is above the sample's median, so codes are balanced. Slices of the code are
+rotation towards them. Near copies count once in it. A bit is set where a rotated coordinate is above the sample's median, so codes are balanced. Slices of the code are
 keys of several hash tables; vectors that share a key in any of them are compared with the original values, in double precision.
 
 The width of a key grows with the logarithm of the number of vectors, so that buckets stay small, and the number of tables with it, so that a
@@ -50,6 +50,16 @@ def learn_rotations(x: np.ndarray, count: int, seed: int = 11) -> tuple[np.ndarr
     return projection, np.median(x @ projection, axis=0) if len(x) else np.zeros(projection.shape[1])
 
 
+def thinned(x: np.ndarray, threshold: float) -> np.ndarray:
+    """Unit vectors without those close to an earlier one, so that no median lies inside a large group of near copies and cuts it up."""
+    kept, open_ = [], np.ones(len(x), bool)
+    for i in range(len(x)):
+        if open_[i]:
+            kept.append(i)
+            open_ &= x @ x[i] < threshold
+    return x[kept]
+
+
 def tables_for(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[int, int]:
     """Bits of a key and number of tables for n vectors."""
     width = min(24, max(8, int(math.log2(max(2, n)))))
@@ -111,6 +121,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample: in
     x = np.array([p for p in picked if len(p) == dim], np.float64).reshape(-1, dim)
     x = x / np.abs(x).max(1, keepdims=True) if len(x) else x
     x = x / np.sqrt((x * x).sum(1, keepdims=True)) if len(x) else x
+    x = thinned(x, threshold)
     width, tables = tables_for(n, threshold, recall)
     projection, middle = learn_rotations(x, -(-width * tables // dim))
     projection, middle = projection[:, : width * tables], middle[: width * tables]
