@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tracewell.operators import claims, corpus, entities, keyword, retrieval, vectors
+from tracewell.operators import answers, claims, corpus, entities, keyword, retrieval, vectors
 from tracewell.sources.pages import visible_text
 
 POSTS = [
@@ -89,6 +89,21 @@ def test_rerank_prefers_structured_evidence(spark):
 
 
 def test_visible_text():
-    html = '<div>a<div class="post-block quote">b<br><p>c</div><script>x</script>d &amp; e</div><span class="signature">f</span>'
+    html = '<div>a<div class="post-block quote">b<br><p>c</p></div><script>x</script>d &amp; e</div><span class="signature">f</span>'
     assert visible_text(html) == "a d & e"
     assert visible_text(None) == ""
+
+
+def test_answers_are_grounded_and_conflicts_found(spark):
+    posts = entities.with_entities(_posts(spark, "bootloop: restore boot.img with Magisk", "warning: do not install boot.img from sweet", "cooking tea"))
+    index, q = keyword.build(posts), keyword.analyse(spark, [("a", "bootloop restore boot.img"), ("b", "tea V99.1.2"), ("c", "warning tea")])
+    specific, found = keyword.specific_terms(index, q), keyword.search(index, q)
+    context = retrieval.context_edges(found, retrieval.all_edges(posts))
+    entries = answers.grounding(retrieval.rerank(found, context, retrieval.intents(q, specific)), context, answers.requests(q, specific))
+    chain = answers.evidence_chain(entries, context)
+    report = {r["query_id"]: r for r in answers.conflict_report(entries, chain).collect()}
+    assert report["a"]["answer_status"] == "answered" and report["a"]["conflict_status"] == "conflict_detected"
+    assert report["b"]["answer_status"] == "insufficient_evidence" and report["b"]["gap_reason"] == "unmatched_structured_query_terms"
+    first = chain.where("query_id = 'a' AND step = 1").first()
+    assert first["role"] == "primary" and first["answer_kind"].startswith("issue_fix")
+    assert not [r for r in entries.where("query_id = 'c' AND key = '2'").collect() if r["grounded"]]

@@ -143,13 +143,13 @@ def claim_edges(rows: DataFrame) -> DataFrame:
 
 
 def cross_edges(rows: DataFrame) -> DataFrame:
-    """(kind, from_node, to_node, confidence, manual_review_required) between related claims of different posts.
+    """(kind, from_node, to_node, confidence, manual_review_required, source_urls) between related claims of different posts.
 
     Related are claims with a common target or an equal relation key: two equi-joins instead of a comparison of all with all. Only warnings
     and updates are on the side that edges start from.
     """
     says = F.lower(F.concat_ws(" ", F.array_join("warning_labels", " "), "label"))
-    base = rows.select("claim_id", "claim_kind", "post_id", "target_labels", "relation_key", "time_key", (F.col("claim_kind") == "warning").alias("warns"), _has(says, R.WARNING_TERMS + R.NEGATIVE_TERMS).alias("strong"), (F.col("source_updates_prior_claims") | _has(F.lower("label"), R.UPDATE_TERMS + R.NEGATIVE_TERMS)).alias("updates"))
+    base = rows.select("claim_id", "claim_kind", "post_id", "source_url", "target_labels", "relation_key", "time_key", (F.col("claim_kind") == "warning").alias("warns"), _has(says, R.WARNING_TERMS + R.NEGATIVE_TERMS).alias("strong"), (F.col("source_updates_prior_claims") | _has(F.lower("label"), R.UPDATE_TERMS + R.NEGATIVE_TERMS)).alias("updates"))
     a = base.where("warns OR updates").select(*[F.col(c).alias("a_" + c) for c in base.columns])
     b = base.select(*[F.col(c).alias("b_" + c) for c in base.columns])
     keyed = lambda d, p: d.select("*", F.explode(F.concat(F.transform(f"{p}_target_labels", lambda t: F.concat(F.lit("t:"), t)), F.array(F.concat(F.lit("k:"), f"{p}_relation_key")))).alias("key"))
@@ -165,7 +165,7 @@ def cross_edges(rows: DataFrame) -> DataFrame:
         F.when(newer, edge("supersedes", "a_claim_id", "b_claim_id", 0.5, True)),
         F.when(newer & ~against, edge("contextualizes", "a_claim_id", "b_claim_id", 0.5, True)),
     ))
-    return pairs.select(F.explode(edges).alias("x")).select("x.*")
+    return pairs.select(F.array_distinct(F.array("a_source_url", "b_source_url")).alias("source_urls"), F.explode(edges).alias("x")).select("x.*", "source_urls")
 
 
 def claim_stats(rows: DataFrame, edges: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tracewell.operators import claims, entities
+
 # Which words ask for which relations.
 ROOT_TERMS = ["boot.img", "init_boot.img", "kernelsu", "ksu", "magisk", "root"]
 RECOVERY_TERMS = ["orangefox", "recovery", "recovery.img", "twrp", "vendor_boot"]
@@ -29,6 +31,14 @@ def intents(analysed: DataFrame, specific: DataFrame) -> DataFrame:
     return q.select("query_id", any_of(ROOT_TERMS).alias("root"), any_of(RECOVERY_TERMS).alias("recovery"), values.alias("values"))
 
 
+def all_edges(posts: DataFrame) -> DataFrame:
+    """(source_url, kind, from_node, to_node, confidence): every relation of posts with entities, once for each address that it names."""
+    columns = ["source_url", "kind", "from_node", "to_node", "confidence"]
+    found = claims.claims(posts)
+    across = claims.cross_edges(found).withColumn("source_url", F.explode("source_urls"))
+    return entities.relations(posts).select(*columns).unionByName(claims.claim_edges(found).select(*columns)).unionByName(across.select(*columns))
+
+
 def context_edges(results: DataFrame, edges: DataFrame) -> DataFrame:
     """The relation edges of each result's own post: (query_id, key, kind, from_node, to_node, confidence).
 
@@ -50,7 +60,7 @@ def rerank(results: DataFrame, context: DataFrame, wanted: DataFrame) -> DataFra
     counted = matching.groupBy("query_id", "key").agg(F.count("*").alias("matching_edge_count"), F.countDistinct("kind").alias("matching_kinds"), F.round(F.sum("confidence"), 6).alias("matching_confidence"))
     out = results.join(counted, ["query_id", "key"], "left").fillna({"matching_edge_count": 0, "matching_kinds": 0, "matching_confidence": 0.0}).join(F.broadcast(wanted.select("query_id", (F.col("root") | F.col("recovery")).alias("_asked"))), "query_id")
     keys = [F.when(F.col("_asked"), x) for x in (F.col("matching_edge_count"), F.col("matching_kinds"), F.col("matching_confidence"), F.size("matched_specific_terms"), F.size("matched_exact_terms"), F.col("score"))]
-    out = out.withColumn("graph_rank", F.row_number().over(W.partitionBy("query_id").orderBy(*[k.desc() for k in keys], "rank"))).drop("_asked")
+    out = out.withColumn("graph_rank", F.row_number().over(W.partitionBy("query_id").orderBy(*[k.desc() for k in keys], "rank"))).withColumnRenamed("_asked", "asked_relations")
     share = lambda n: F.least(F.col(n), F.lit(2)) / 2
     raw = 0.4 * share("matching_edge_count") + 0.4 * share("matching_kinds") + 0.2 * F.least("matching_confidence", F.lit(1.0))
     return out.withColumn("graph_raw", F.when(F.col("matching_edge_count") > 0, F.round(raw, 6)).otherwise(0.0))

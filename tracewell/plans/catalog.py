@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import rules as R
 from tracewell.functions import text as T
-from tracewell.operators import audits, claims, corpus, entities, keyword, policy, retrieval, vectors
+from tracewell.operators import answers, audits, claims, corpus, entities, keyword, policy, retrieval, vectors
 from tracewell.sources import pages as sources
 
 #: Queries of the catalogue's searches, and its clock.
@@ -161,13 +161,34 @@ def claim_stats(spark, sf_dir):
 def graph_search(spark, sf_dir, k: int = 10):
     posts = entities.with_entities(_posts(spark, sf_dir))
     index, q = keyword.build(posts), keyword.analyse(spark, ASKED)
-    edges = entities.relations(posts).select("source_url", "kind", "from_node", "to_node", "confidence").unionByName(claims.claim_edges(claims.claims(posts)).select("source_url", "kind", "from_node", "to_node", "confidence"))
     found = keyword.search(index, q, k)
     wanted = retrieval.intents(q, keyword.specific_terms(index, q))
-    out = retrieval.rerank(found, retrieval.context_edges(found, edges), wanted)
+    out = retrieval.rerank(found, retrieval.context_edges(found, retrieval.all_edges(posts)), wanted)
     return out.select("query_id", "graph_rank", "rank", "key", "score", "matching_edge_count", "matching_kinds", "matching_confidence", "graph_raw")
 
 
+def _entries(spark, sf_dir, k: int = 10):
+    posts = entities.with_entities(_posts(spark, sf_dir))
+    index, q = keyword.build(posts), keyword.analyse(spark, ASKED)
+    specific = keyword.specific_terms(index, q)
+    found = keyword.search(index, q, k)
+    context = retrieval.context_edges(found, retrieval.all_edges(posts))
+    return answers.grounding(retrieval.rerank(found, context, retrieval.intents(q, specific)), context, answers.requests(q, specific)), context
+
+
+def grounding(spark, sf_dir):
+    return _entries(spark, sf_dir)[0].select("query_id", "graph_rank", "key", "matched_count", "unmatched_structured", "relation_supported", "warning_requested", "warning_supported", "grounded")
+
+
+def evidence_chain(spark, sf_dir):
+    return answers.evidence_chain(*_entries(spark, sf_dir)).select("query_id", "step", "post_id", "role", "answer_kind", F.array_join("relation_kinds", "|").alias("relation_kinds"))
+
+
+def conflict_report(spark, sf_dir):
+    entries, context = _entries(spark, sf_dir)
+    return answers.conflict_report(entries, answers.evidence_chain(entries, context))
+
+
 def _urls(spark, sf_dir):
     """Page addresses, and topic addresses made of page ids."""
     p = _table(spark, sf_dir, "pages")
@@ -283,7 +304,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         token_counts, technical_aliases, term_stats, corpus_stats, exact_terms, query_terms, specific_terms, keyword_search, hashed_vectors, blake_vectors, vector_search, hybrid_search,
-        chunks, chunk_search, entity_mentions, relation_edges, graph_nodes, graph_edges, claim_rows, claim_kinds, claim_edges, claim_cross_edges, claim_stats, graph_search,
+        chunks, chunk_search, entity_mentions, relation_edges, graph_nodes, graph_edges, claim_rows, claim_kinds, claim_edges, claim_cross_edges, claim_stats, graph_search, grounding, evidence_chain, conflict_report,
         url_policy, page_titles, page_links, page_texts, discovery_candidates, seed_review, crawl_plan, coverage, missing_pages, need_coverage, route_ratio, refresh_audit, latest_receipts, dedupe_latest, source_select, preflight_errors,
     )
 }
