@@ -8,8 +8,8 @@ indexed, for two sets that share no rare shingle in their prefixes share two fre
 How it is spread:
 - Sets are numbered by a hash of their shingles, so copies of a text are one set, wherever they are.
 - Shingles travel in packed, sorted arrays by hash bucket, not as rows; a bucket's task counts them and sends on those held twice.
-- First sets that share a band of minima of hashes are compared with the band's smallest set only, and the linked ones are joined to
-  components. An index list whose sets are all in one component is then done with. What is left are pairs across components, found
+- First sets that share a band of minima of hashes are compared with one set of the band only, in some turns with another each time,
+  and the linked ones are joined to components. An index list whose sets are all in one component is then done with. What is left are pairs across components, found
   through the index; so a group of many near copies costs some comparisons each, not one for each pair, and no link between
   components is lost.
 - Before two sets are brought together, bounds rule out most pairs: the places of the shared shingles in the order, the numbers of
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tracewell.llm.spark_util import components, cut
 
 WORDS, PERCENT, FREQUENT = 5, 80, 128
-BANDS, BAND_ROWS = 16, 3
+BANDS, BAND_ROWS, STARS = 16, 3, 3
 _FLUSH_TOKENS, _FLUSH_SETS = 6_000_000, 60_000
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
@@ -268,14 +268,18 @@ def links(docs: DataFrame, n_rows: int, words: int = WORDS, percent: int = PERCE
     indexed = cut(shared.groupBy("own").applyInPandas(lambda g: _prefixes(g, percent), _INDEXED))
     entries = cut(_entries(indexed))
 
-    known_as = lambda c, df: df.select(*[F.col(x).alias(c if x == "node" else f"{x}_{c}") for x in _BOUNDS])
-    bounds = known_as("a", indexed)
-    banded = indexed.select(F.explode("bands").alias("band"), F.struct(*_BOUNDS).alias("x"))
-    leaders = banded.groupBy("band").agg(F.min("x").alias("y"), F.count("*").alias("c")).where("c > 1")
-    stars = banded.join(leaders, "band").where("x.node <> y.node")
-    stars = stars.select(*[F.col(f"x.{n}").alias("a" if n == "node" else f"{n}_a") for n in _BOUNDS], *[F.col(f"y.{n}").alias("b" if n == "node" else f"{n}_b") for n in _BOUNDS])
-    first = cut(_verified(stars.where(_may_link(percent)).select("a", "b").distinct(), indexed, percent))
-    known = components(first)
+    bounds = indexed.select(*[F.col(x).alias(x if x == "node" else f"{x}_a") for x in _BOUNDS])
+    banded = cut(indexed.select(F.explode("bands").alias("band"), *_BOUNDS))
+    first = known = None
+    for turn in range(STARS):  # each with other sets as the bands' centres
+        placed = banded.withColumn("component", F.col("node")) if known is None else banded.join(known.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        names = [*_BOUNDS, "component"]
+        centres = placed.groupBy("band").agg(F.min_by(F.struct(*names), F.xxhash64(F.lit(turn), "band", "node") if turn else F.col("node")).alias("y"), F.count("*").alias("c")).where("c > 1")
+        sides = [[F.col(n).alias(s if n == "node" else f"{n}_{s}") for n in names] for s in "ab"]
+        stars = placed.join(centres, "band").where("component <> y.component").select(*sides[0], *[F.col(f"y.{n}").alias("b" if n == "node" else f"{n}_b") for n in names])
+        found = cut(_verified(stars.where(_may_link(percent)).select("a", "b").distinct(), indexed, percent))
+        first = found if first is None else first.unionByName(found)
+        known = components(first)
 
     placed = cut(entries.join(known.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node")))
     open_ = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
