@@ -81,7 +81,7 @@ def keyword_search(spark, sf_dir, k: int = 10):
 
 def hashed_vectors(spark, sf_dir):
     v = vectors.vectors(_index(spark, sf_dir).docs, "key")
-    return v.groupBy("bucket").agg(F.count("*").alias("docs"), F.round(F.sum(F.abs("w")), 3).alias("weight"), F.max("w").alias("top"))
+    return v.groupBy("bucket").agg(F.count("*").alias("docs"), F.round(F.sum(F.abs("w")), 6).alias("weight"), F.max("w").alias("top"))
 
 
 def blake_vectors(spark, sf_dir):

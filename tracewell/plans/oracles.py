@@ -91,7 +91,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, key, round(total, 6) AS score, r
 {name} AS (SELECT * FROM (SELECT key, bucket, round(w / sqrt(sum(w * w) OVER (PARTITION BY key)), 6) AS w FROM {name}_b) WHERE w <> 0)"""
     stored = hashed("v", "d", "key", "t")
     asked_v = hashed("qv", "q", "query_id", "t")
-    out["hashed_vectors"] = f"WITH {base}, {stored} SELECT bucket, count(*) AS docs, round(sum(abs(w)), 3) AS weight, max(w) AS top FROM v GROUP BY bucket"
+    out["hashed_vectors"] = f"WITH {base}, {stored} SELECT bucket, count(*) AS docs, round(sum(abs(w)), 6) AS weight, max(w) AS top FROM v GROUP BY bucket"
     dots = f"""{stored}, {asked_v},
 dots AS (SELECT qv.key AS query_id, v.key, round(sum(qv.w * v.w), 9) AS dot FROM v JOIN qv USING (bucket) GROUP BY qv.key, v.key HAVING round(sum(qv.w * v.w), 9) > 0),
 vr AS (SELECT query_id, dots.key, round(dot, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY dot DESC, doc_id) AS rank FROM dots JOIN d USING (key))"""
