@@ -108,8 +108,11 @@ def test_quotation_links(spark):
     assert out[1, 3]["text"] == "The one with the keys." and out[1, 3]["parent_turn"] == 1 and out[1, 3]["depth"] == 2 and out[1, 3]["quoted_depth"] == 2
     assert (out[2, 0]["parent_conv"], out[2, 0]["parent_turn"], out[2, 0]["role"]) == (1, 0, "user")
     assert out[3, 0]["text"] == "" and out[None, None]["parent_turn"] is None
-    order = [r["turn"] for r in sorted((r for k, r in out.items() if k[0] == 1), key=lambda r: r["reply_path"])]
+    order = [r["turn"] for r in sorted((r for k, r in out.items() if k[0] == 1), key=lambda r: (r["thread_turn"], r["turn"]))]
     assert order == [0, 1, 3, 2]
+    chain = [(7, 0, "user", "message number 0 of the chain")] + [(7, i, "user", f"> message number {i - 1} of the chain\nmessage number {i} of the chain") for i in range(1, 40)]
+    deep = chat.format_messages(spark.createDataFrame(chain, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r["turn"], r["depth"], r["thread_turn"]) for r in deep} == {(i, i, 0) for i in range(40)}
     one = {r["conv_id"]: r for r in chat.conversations(spark.createDataFrame(rows[:4], "conv_id long, turn long, role string, text string")).collect()}
     assert one[1]["n_messages"] == 4 and one[1]["chat"].index("keys") < one[1]["chat"].index("Unrelated")
 

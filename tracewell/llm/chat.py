@@ -5,9 +5,10 @@ Passages and their single lines are normalised (lower case, runs of white space
 whole messages and of their lines, written without quotes. A message replies to the one that holds most of the characters that it
 quotes at depth 1, in its own conversation and before it if there is one, else the first message anywhere that has them.
 
-Conversations are in reply order: a reply comes after the message that it quotes, messages without a quote by their turns. The order is
-kept as a path of turns from the first message on, found by doubling steps over parents, so a conversation of any length needs no
-window or collected list. The text is the message without quotes and attribution lines.
+Conversations are in reply order: a message that quotes nothing of its conversation begins a thread, threads come by their first turns,
+and a reply comes after the message that it quotes. A message carries its thread's first turn and its depth, two numbers that are found by
+doubling steps over parents, so a conversation of any length needs no window, collected list or path. The text is the message without
+quotes and attribution lines.
 
 Many copies of one message are one entry of the index: the smallest place for each hash and conversation, and for each hash.
 
@@ -70,33 +71,32 @@ def links(rows: DataFrame) -> DataFrame:
 
 
 def format_messages(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text, quoted_depth, parent_conv, parent_turn, depth, reply_path, chat) of each row of messages.
+    """(conv_id, turn, role, text, quoted_depth, parent_conv, parent_turn, thread_turn, depth, chat) of each row of messages.
 
-    Ordering by conv_id and reply_path gives conversations in reply order.
+    Ordering by conv_id, thread_turn and turn gives conversations in reply order.
     """
     rows = cut(parsed(messages))
     found = cut(links(rows))
     me = ["conv_id", "turn", "content"]
     parents = found.where("depth = 1").select(*me, F.col("to_conv").alias("parent_conv"), F.col("to_turn").alias("parent_turn"))
 
-    # Steps over parents within a conversation, doubled in each round; turns that reply to nothing are roots.
-    step = parents.where("conv_id = parent_conv").groupBy("conv_id", "turn").agg(F.min("parent_turn").alias("up"))
-    step = cut(step.withColumn("path", F.array("turn").cast("array<long>")))
-    while step.where("up IS NOT NULL").limit(1).count():
-        above = step.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("path").alias("before"))
-        joined = step.join(above, ["conv_id", "up"], "left")
-        path = F.when(F.col("up").isNull(), F.col("path")).otherwise(F.concat(F.coalesce("before", F.array(F.col("up").cast("long"))), F.col("path")))
-        step = cut(joined.select("conv_id", "turn", F.when(F.col("up").isNotNull(), F.col("next")).alias("up"), path.alias("path")))
-
-    out = rows.join(parents, me, "left").join(step.select("conv_id", "turn", "path"), ["conv_id", "turn"], "left")
-    path = F.coalesce("path", F.array(F.col("turn").cast("long")))
+    # Steps over parents within a conversation, doubled in each round; turns that reply to nothing begin threads.
+    step = parents.where("conv_id = parent_conv").groupBy("conv_id", "turn").agg(F.min("parent_turn").alias("top"))
+    step = cut(step.select("conv_id", "turn", "top", F.lit(1).alias("depth"), F.lit(False).alias("done")))
+    while step.where("NOT done").limit(1).count():
+        above = step.select("conv_id", F.col("turn").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"), F.col("done").alias("last"))
+        live = step.where("NOT done").join(above, ["conv_id", "top"], "left")
+        live = live.select("conv_id", "turn", F.coalesce("next", "top").alias("top"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("last", F.lit(True)).alias("done"))
+        step = cut(step.where("done").unionByName(live))
+
+    out = rows.join(parents, me, "left").join(step.select("conv_id", "turn", "top", "depth"), ["conv_id", "turn"], "left")
     return out.select(
-        "conv_id", "turn", "role", F.col("own").alias("text"), F.coalesce(F.array_max(F.transform("lines", lambda x: x["depth"])), F.lit(0)).alias("quoted_depth"), "parent_conv", "parent_turn", (F.size(path) - 1).alias("depth"),
-        F.array_join(F.transform(path, lambda x: F.lpad(x.cast("string"), 19, "0")), "/").alias("reply_path"), F.concat(F.lit("<|"), "role", F.lit("|>\n"), "own", F.lit("\n<|end|>\n")).alias("chat"),
+        "conv_id", "turn", "role", F.col("own").alias("text"), F.coalesce(F.array_max(F.transform("lines", lambda x: x["depth"])), F.lit(0)).alias("quoted_depth"), "parent_conv", "parent_turn",
+        F.coalesce("top", "turn").alias("thread_turn"), F.coalesce("depth", F.lit(0)).alias("depth"), F.concat(F.lit("<|"), "role", F.lit("|>\n"), "own", F.lit("\n<|end|>\n")).alias("chat"),
     )
 
 
 def conversations(messages: DataFrame) -> DataFrame:
     """(conv_id, n_messages, chat): each conversation as one text in reply order, for conversations that fit into a task."""
     rows = format_messages(messages).where("conv_id IS NOT NULL")
-    return rows.groupBy("conv_id").agg(F.count("*").alias("n_messages"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("reply_path", "chat"))), lambda x: x["chat"]), "").alias("chat"))
+    return rows.groupBy("conv_id").agg(F.count("*").alias("n_messages"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("thread_turn", "turn", "chat"))), lambda x: x["chat"]), "").alias("chat"))
