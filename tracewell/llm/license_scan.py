@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tracewell.llm.spark_util import cut
 
 HEADER, FILE = 0.72, 0.72
+SALTS = 64
 #: Names and the usual wording of notices.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -103,5 +104,7 @@ def scan(files: DataFrame) -> DataFrame:
     dirs = rows.where("dir IS NOT NULL").select("dir").distinct()
     above = dirs.select("dir", F.explode(F.when(F.col("dir") == "", F.array(F.lit(""))).otherwise(F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), "/"))))).alias("above"))
     inherited = above.join(granting, "above").groupBy("dir").agg(F.max_by("g", F.length("above")).alias("g"))
-    out = rows.join(inherited, "dir", "left")
+    # One directory may hold a large part of all rows (and rows without a path all have the same null), so the join is salted.
+    salted = inherited.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    out = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["dir", "salt"], "left")
     return out.select("doc_id", "path", F.coalesce("license", "g.license").alias("license"), F.coalesce(F.col("similarity"), -F.col("g.minus")).alias("similarity"), F.coalesce("how", F.when(F.col("g").isNotNull(), "inherited")).alias("how"))
