@@ -262,7 +262,7 @@ def _verified(pairs: DataFrame, indexed: DataFrame, percent: int) -> DataFrame:
 
 
 def links(docs: DataFrame, n_rows: int, words: int = WORDS, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
-    """(a, b): links between sets that connect all sets that are connected by any. n_rows: rows of docs, for the number of buckets."""
+    """(a, b): pairs of sets that are linked, or joined by links already found; together they connect all sets that any links connect. n_rows: rows of docs, for the number of buckets."""
     bits = min(20, max(6, math.ceil(math.log2(max(1, n_rows) / 4000))))
     shared = _packed(docs, bits, words).groupBy("bucket").applyInPandas(lambda g: _shared(g, bits), _SHARED)
     indexed = cut(shared.groupBy("own").applyInPandas(lambda g: _prefixes(g, percent), _INDEXED))
@@ -270,7 +270,7 @@ def links(docs: DataFrame, n_rows: int, words: int = WORDS, percent: int = PERCE
 
     bounds = indexed.select(*[F.col(x).alias(x if x == "node" else f"{x}_a") for x in _BOUNDS])
     banded = cut(indexed.select(F.explode("bands").alias("band"), *_BOUNDS))
-    first = known = None
+    known = None
     for turn in range(STARS):  # each with other sets as the bands' centres
         placed = banded.withColumn("component", F.col("node")) if known is None else banded.join(known.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
         names = [*_BOUNDS, "component"]
@@ -278,8 +278,7 @@ def links(docs: DataFrame, n_rows: int, words: int = WORDS, percent: int = PERCE
         sides = [[F.col(n).alias(s if n == "node" else f"{n}_{s}") for n in names] for s in "ab"]
         stars = placed.join(centres, "band").where("component <> y.component").select(*sides[0], *[F.col(f"y.{n}").alias("b" if n == "node" else f"{n}_b") for n in names])
         found = cut(_verified(stars.where(_may_link(percent)).select("a", "b").distinct(), indexed, percent))
-        first = found if first is None else first.unionByName(found)
-        known = components(first)
+        known = components(found if known is None else found.unionByName(known.select(F.col("id").alias("a"), F.col("component").alias("b"))))
 
     placed = cut(entries.join(known.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node")))
     open_ = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
@@ -293,7 +292,7 @@ def links(docs: DataFrame, n_rows: int, words: int = WORDS, percent: int = PERCE
     right = left.withColumnsRenamed({"a": "b", **{c: c[:-1] + "b" for c in left.columns if c.endswith("_a")}})
     reach = f"{100 + percent} * least(n_a - p_a, n_b - p_b) >= {percent} * (n_a + n_b)"  # what can still be shared from here on
     pairs = left.join(right, ["key", "key2"]).where(f"a < b AND c_a <> c_b AND {reach} AND {_may_link(percent)}").select("a", "b").distinct()
-    return first.unionByName(_verified(pairs, indexed, percent))
+    return known.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(_verified(pairs, indexed, percent))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
