@@ -95,6 +95,24 @@ def test_license_scan(spark):
     assert license_scan.scan(spark.createDataFrame([], "doc_id long, path string, text string")).count() == 0
 
 
+def test_license_scan_of_real_files(spark):
+    text = {n: (license_scan.TEXTS / f"{n}.txt").read_text("utf-8") for n in ("MIT", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "MPL-2.0")}
+    text["MIT"] = "Copyright 2024 The Tea Authors\n\n" + " ".join(text["MIT"].split("\n\n", 2)[2].split())
+    text["BSD-3-Clause"] = "Copyright (c) 1999, Jane Roe\n" + "\n".join(f" * {x}" for x in text["BSD-3-Clause"].split("\n")[2:])
+    text["Apache-2.0"] = text["Apache-2.0"].split("APPENDIX")[0]
+    text["GPL-2.0"] = text["GPL-2.0"].split("END OF TERMS")[0]
+    notice = next(t for n, t in license_scan.TEMPLATES if n == "GPL-3.0" and len(t) > 100).split()
+    header = "#!/bin/sh\n#\n" + "\n".join("#  " + " ".join(notice[i : i + 7]) for i in range(0, len(notice), 7)) + "\n#\necho tea\n" + "make a pot of tea\n" * 40
+    rows = [(i, f"{n}/LICENSE", t) for i, (n, t) in enumerate(text.items())] + [(20 + i, f"{n}/src/x.py", "print(1)") for i, n in enumerate(text)]
+    rows += [(50, "q/run.sh", header), (51, "q/x.py", "print(1)"), (52, "r/LICENSE", text["GPL-3.0"][:600]), (53, "r/x.py", "print(1)"), (0, "MIT/LICENSE", text["MIT"])]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()
+    out = {r["doc_id"]: (r["license"], r["how"]) for r in got}
+    assert len(got) == len(rows)
+    for i, n in enumerate(text):
+        assert out[i] == (n, "file") and out[20 + i] == (n, "inherited")
+    assert out[50] == ("GPL-3.0", "header") and out[51] == (None, None) and out[52][1] != "file" and out[53] == (None, None)
+
+
 def test_quotation_links(spark):
     first, second = "The build fails on the new machine.\nIt says that a file is missing.", "Which file is it, and where?"
     rows = [
