@@ -65,6 +65,20 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_line_dedup_counts_documents(spark):
+    rng = random.Random(8)
+    say = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))
+    head, foot, alone = say(8), say(9), say(7)
+    own = lambda: "\n".join(say(4) for _ in range(12))
+    rows = [(i, f"{head}\n{own()}\n{foot}") for i in range(3)] + [(10 + i, f"{alone}\n{own()}") for i in range(4)]
+    twice = say(11)
+    rows += [(20 + i, f"{twice}\n{t}") for i, t in enumerate([*[own()] * 3, *[own()] * 3])]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    dropped = {r["doc_id"]: r["n_dropped"] for r in got}
+    assert all(head not in r["text"] and foot not in r["text"] and alone not in r["text"] for r in got)
+    assert dropped == {**dict.fromkeys(range(3), 2), **dict.fromkeys(range(10, 14), 1), **dict.fromkeys(range(20, 26), 0)}
+
+
 def test_rules_agree_with_their_columns(spark):
     rng = random.Random(5)
     good = lambda: ". ".join(" ".join("".join(rng.choice("aeioutnsr") for _ in range(rng.randint(2, 8))) for _ in range(9)).capitalize() for _ in range(6))

@@ -5,14 +5,14 @@ first LEAD words; a leaf holds templates. A line's templates are its masked word
 with one of PARTS stretches after the leading words generalised to a variable field. Lines that differ in their numbers or in one
 stretch of words meet in one of these.
 
-A template recurs if it comes up in three different surroundings. A line's surroundings are known by the smallest hash among the other
-lines of its document, so copies of a document are one surrounding and don't make their lines recur; near copies are left to the
-near-duplicate stage as far as they are few. Recurring lines are dropped wherever they are, but for one case: the first document of a
-template (by id) keeps its line if recurring lines make up half of its words or more, so a passage that many near copies share stays once.
+A template recurs if it comes up in RECURS documents of different text, counted exactly by the hash of the whole text. Copies of a document
+are one, so they don't make their lines recur; near copies are documents of their own. Recurring lines are dropped wherever they are, but for
+one case: the first document of a template (by id) keeps its line if recurring lines make up half of its words or more, so a passage that
+many near copies share stays once.
 
-How it is spread: what is counted is two bitmaps of 64 bits for a leaf or template, so a line in a third of all documents is summed before
-the shuffle. Surroundings are three if a bitmap has three bits; three that share bits in both (0.2 %) are taken for two. Only lines
-in recurring leaves go on to the templates, and only their places are joined back to the texts.
+How it is spread: leaves with fewer than RECURS lines, or lines of one text only, can't hold a recurring template and are dropped by a count, a
+minimum and a maximum. Of the others, each template's texts are made distinct by (template, text), and then counted; both sums begin before the
+shuffle, so a line in a third of all documents is no hot key. Only the places of lines are joined back to the texts.
 
 Defined results: a null text stays null and counts as no lines; a text without a dropped line stays as it is, byte for byte. Lines of fewer
 than SHORT words are never dropped. Repeated rows get the same text. No rows give no rows; further columns are kept, and columns of
@@ -30,7 +30,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tracewell.llm.spark_util import cut
 
-LEAD, SHORT, WIDE, PARTS = 3, 5, 10, 4
+LEAD, SHORT, WIDE, PARTS, RECURS = 3, 5, 10, 4, 3
 _DIGITS = b"0123456789"
 
 
@@ -59,8 +59,8 @@ def parse(line: str) -> tuple[int, list[int]] | None:
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, line, words, doc_words, leaf, keys, around) of each line that may be dropped."""
-    names = ["doc_id", "content", "line", "words", "doc_words", "leaf", "keys", "around"]
+    """(doc_id, content, line, words, doc_words, leaf, keys) of each line that may be dropped."""
+    names = ["doc_id", "content", "line", "words", "doc_words", "leaf", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -74,33 +74,24 @@ def parsed_lines(docs: DataFrame) -> DataFrame:
                         total += n
                         if n and (got := parse(line)):
                             found.append((i, n, *got))
-                    low = sorted({keys[0] for _, _, _, keys in found})[:2]
                     for i, n, leaf, keys in found:
-                        around = next((x for x in low if x != keys[0]), 0)
-                        for c, v in zip(columns, (doc, content, i, n, total, leaf, keys, around)):
+                        for c, v in zip(columns, (doc, content, i, n, total, leaf, keys)):
                             c.append(v)
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64())
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("content"))
-    return given.mapInArrow(run, "doc_id long, content long, line int, words int, doc_words int, leaf long, keys array<long>, around long")
-
-
-def _bitmaps():
-    bit = lambda shift: F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(around, {shift}) & 63 as int))"))
-    return bit(0).alias("b0"), bit(6).alias("b1")
-
-
-_RECURS = "bit_count(b0) >= 3 OR bit_count(b1) >= 3"
+    return given.mapInArrow(run, "doc_id long, content long, line int, words int, doc_words int, leaf long, keys array<long>")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, content, lines): the numbers of the lines to drop, from 0."""
     lines = parsed_lines(docs)
-    leaves = lines.groupBy("leaf").agg(*_bitmaps()).where(_RECURS).select("leaf")
+    leaves = lines.groupBy("leaf").agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b")).where(f"n >= {RECURS} AND a <> b").select("leaf")
     open_ = cut(lines.join(leaves, "leaf"))
-    keyed = open_.select("doc_id", "content", "line", "words", "doc_words", "around", F.explode("keys").alias("key"))
-    recurring = keyed.groupBy("key").agg(*_bitmaps(), F.min("doc_id").alias("first")).where(_RECURS).select("key", "first")
+    keyed = open_.select("doc_id", "content", "line", "words", "doc_words", F.explode("keys").alias("key"))
+    by_text = keyed.groupBy("key", "content").agg(F.min("doc_id").alias("first"))
+    recurring = by_text.groupBy("key").agg(F.count("*").alias("n"), F.min("first").alias("first")).where(f"n >= {RECURS}").select("key", "first")
     hits = keyed.join(recurring, "key").groupBy("doc_id", "content", "line").agg(F.first("words").alias("words"), F.first("doc_words").alias("doc_words"), F.max(F.col("first") == F.col("doc_id")).alias("is_first"))
     by_doc = hits.groupBy("doc_id", "content").agg(F.sum("words").alias("recurring"), F.first("doc_words").alias("doc_words"), F.collect_set(F.struct("line", "is_first")).alias("found"))
     kept_first = F.col("recurring") * 2 >= F.col("doc_words")
