@@ -149,6 +149,18 @@ def test_quotation_links(spark):
     assert one[1]["n_messages"] == 4 and one[1]["chat"].index("keys") < one[1]["chat"].index("Unrelated")
 
 
+def test_quotation_holders(spark):
+    a, b, c = "the first of the two lines", "the second of the two lines", "a line that stands only here"
+    quote = f"> {a}\n> {b}\nI agree."
+    rows = [
+        (1, 1, a), (1, 2, b), (1, 4, f"{a}\n{b}\nand some more"), (1, 6, quote), (2, 0, quote), (3, 5, f"> {c}\nYes."), (3, 7, c), (4, 2, c), (5, 1, f"> {c}\nNo."),
+    ]
+    got = chat.format_messages(spark.createDataFrame([(i, t, "user", x) for i, t, x in rows], "conv_id long, turn long, role string, text string")).collect()
+    parent = {(r["conv_id"], r["turn"]): (r["parent_conv"], r["parent_turn"]) for r in got}
+    assert parent[1, 6] == parent[2, 0] == (1, 4)
+    assert parent[3, 5] == (4, 2) and parent[5, 1] == (3, 7)
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as p
 

@@ -10,7 +10,8 @@ and a reply comes after the message that it quotes. A message carries its thread
 doubling steps over parents, so a conversation of any length needs no window, collected list or path. The text is the message without
 quotes and attribution lines.
 
-Many copies of one message are one entry of the index: the smallest place for each hash and conversation, and for each hash.
+The index has all holders of what is quoted, as sets of quoted hashes: messages of a conversation that hold the same set are one entry with the
+smallest turn, and for quotes from elsewhere the first two conversations of a set are enough. Quotes of the same lines are scored once.
 
 Defined results: a null text is an empty message; a null role is 'user'; rows with a null conversation or turn stand alone. Of equal
 matches the earliest counts. Repeated rows get the same result. Lines of under SHORT characters aren't looked up alone.
@@ -46,12 +47,6 @@ def parsed(messages: DataFrame) -> DataFrame:
 
 def links(rows: DataFrame) -> DataFrame:
     """(conv_id, turn, content, depth, to_conv, to_turn, chars): for each message and depth of quoting, the message quoted."""
-    line_keys = F.filter(F.transform(F.split("own", "\n"), _normal), lambda x: F.length(x) >= SHORT)
-    keys = F.array_distinct(F.concat(F.filter(F.array(_normal(F.col("own"))), lambda x: x != ""), line_keys))
-    index = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode(F.transform(keys, lambda x: F.xxhash64(x))).alias("key"))
-    within = index.groupBy("key", "conv_id").agg(F.min("turn").alias("to_turn"))
-    anywhere = within.groupBy("key").agg(F.min(F.struct("conv_id", "to_turn")).alias("first"))
-
     me = ["conv_id", "turn", "content"]
     quoted = rows.where("lines IS NOT NULL").select(*me, F.posexplode("lines").alias("i", "x")).select(*me, "i", "x.depth", "x.t").where("depth > 0")
     order = W.partitionBy(*me, "depth").orderBy("i")
@@ -59,14 +54,32 @@ def links(rows: DataFrame) -> DataFrame:
     runs = quoted.groupBy(*me, "depth", "run").agg(F.sort_array(F.collect_set(F.struct("i", "t"))).alias("ts"))
     whole = runs.select(*me, "depth", _normal(F.array_join(F.transform("ts", lambda x: x["t"]), "\n")).alias("q")).where("q <> ''")
     single = quoted.select(*me, "depth", _normal(F.col("t")).alias("q")).where(F.length("q") >= SHORT)
-    wanted = whole.unionByName(single).distinct().select(*me, "depth", F.xxhash64("q").alias("key"), F.length("q").alias("n"))
-
-    hits = wanted.join(within, ["key", "conv_id"], "left").join(anywhere, "key", "left")
-    near = F.col("to_turn") < F.col("turn")
-    hits = hits.select(*me, "depth", "n", F.coalesce(near, F.lit(False)).alias("near"), F.when(near, F.col("conv_id")).otherwise(F.col("first.conv_id")).alias("to_conv"), F.when(near, F.col("to_turn")).otherwise(F.col("first.to_turn")).alias("to_turn"))
-    hits = hits.where("to_turn IS NOT NULL AND NOT (to_conv = conv_id AND to_turn >= turn)")
-    scored = hits.groupBy(*me, "depth", "near", "to_conv", "to_turn").agg(F.sum("n").alias("chars"))
-    best = scored.groupBy(*me, "depth").agg(F.min(F.struct((~F.col("near")).alias("far"), (-F.col("chars")).alias("minus"), "to_conv", "to_turn")).alias("b"))
+    wanted = whole.unionByName(single).where("conv_id IS NOT NULL AND turn IS NOT NULL").distinct().select(*me, "depth", F.xxhash64("q").alias("key"), F.length("q").alias("n"))
+
+    wanted = cut(wanted)
+
+    # All holders of quoted keys, as the sets of these keys: messages that hold the same set score the same for every quote.
+    line_keys = F.filter(F.transform(F.split("own", "\n"), _normal), lambda x: F.length(x) >= SHORT)
+    keys = F.array_distinct(F.concat(F.filter(F.array(_normal(F.col("own"))), lambda x: x != ""), line_keys))
+    index = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode(F.transform(keys, lambda x: F.xxhash64(x))).alias("key"))
+    held = index.join(wanted.select("key").distinct(), "key", "left_semi").groupBy("conv_id", "turn").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    held = held.groupBy(F.xxhash64("keys").alias("held"), F.col("conv_id").alias("to_conv")).agg(F.min("turn").alias("to_turn"), F.first("keys").alias("keys"))
+    held = cut(held)
+
+    near = wanted.join(held.select(F.col("to_conv").alias("conv_id"), "held", "to_turn", F.explode("keys").alias("key")), ["conv_id", "key"]).where("to_turn < turn")
+    near = near.groupBy(*me, "depth", "held", "to_turn").agg(F.sum("n").alias("chars")).select(*me, "depth", F.lit(False).alias("far"), "chars", F.col("conv_id").alias("to_conv"), "to_turn")
+
+    # Elsewhere, for each set of quoted keys: the best place, and the best in another conversation for those who quote from the first one.
+    first_two = lambda df, key, *by: df.withColumn("_k", F.row_number().over(W.partitionBy(key).orderBy(*by))).where("_k <= 2").drop("_k")
+    sets = wanted.groupBy(*me, "depth").agg(F.sort_array(F.collect_set(F.struct("key", "n"))).alias("q")).withColumn("asked", F.xxhash64("q"))
+    asked = sets.groupBy("asked").agg(F.first("q").alias("q")).select("asked", F.explode("q").alias("q")).select("asked", "q.key", "q.n")
+    places = first_two(held, "held", "to_conv").select("held", "to_conv", "to_turn", F.explode("keys").alias("key"))
+    scored = asked.join(places, "key").groupBy("asked", "held", "to_conv", "to_turn").agg(F.sum("n").alias("chars"))
+    scored = scored.groupBy("asked", "to_conv").agg(F.min(F.struct((-F.col("chars")).alias("minus"), "to_turn")).alias("b")).select("asked", "to_conv", "b.minus", "b.to_turn")
+    far = sets.drop("q").join(first_two(scored, "asked", "minus", "to_conv"), "asked").where("to_conv <> conv_id")
+    far = far.select(*me, "depth", F.lit(True).alias("far"), (-F.col("minus")).alias("chars"), "to_conv", "to_turn")
+
+    best = near.unionByName(far).groupBy(*me, "depth").agg(F.min(F.struct("far", (-F.col("chars")).alias("minus"), "to_conv", "to_turn")).alias("b"))
     return best.select(*me, "depth", "b.to_conv", "b.to_turn", (-F.col("b.minus")).alias("chars"))
 
 
