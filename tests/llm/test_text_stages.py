@@ -161,6 +161,25 @@ def test_quotation_holders(spark):
     assert parent[3, 5] == (4, 2) and parent[5, 1] == (3, 7)
 
 
+def test_branching_threads(spark):
+    rng = random.Random(3)
+    parents = {1: {1: 0, 2: 0, 3: 1}, 2: {i: rng.randrange(i) for i in range(1, 40) if i % 9}, 3: {i: 0 for i in range(1, 5)} | {1500: 0, 2600: 1, 3700: 0, 4000: 1500}}
+    rows, expected = [], {}
+    for conv, up in parents.items():
+        turns = sorted({0, *up, *up.values()} | ({9, 18, 27, 36} if conv == 2 else set()))
+        rows += [(conv, t, "user", (f"> message {up[t]} of talk {conv}\n" if t in up else "") + f"message {t} of talk {conv}") for t in turns]
+        walk = lambda t: [t, *(x for k in turns if up.get(k) == t for x in walk(k))]  # noqa: E731, B023
+        expected[conv] = [x for t in turns if t not in up for x in walk(t)]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.format_messages(messages).collect()
+    for conv in parents:
+        order = [r["turn"] for r in sorted((r for r in got if r["conv_id"] == conv), key=lambda r: (r["thread_turn"], r["position"]))]
+        assert order == expected[conv]
+    assert expected[1] == [0, 1, 3, 2]
+    chats = {r["conv_id"]: r["chat"] for r in chat.conversations(messages.where("conv_id = 1")).collect()}
+    assert [x.split()[1] for x in chats[1].split("\n") if x.startswith("message")] == ["0", "1", "3", "2"]
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as p
 

@@ -6,9 +6,10 @@ whole messages and of their lines, written without quotes. A message replies to
 quotes at depth 1, in its own conversation and before it if there is one, else the first message anywhere that has them.
 
 Conversations are in reply order: a message that quotes nothing of its conversation begins a thread, threads come by their first turns,
-and a reply comes after the message that it quotes. A message carries its thread's first turn and its depth, two numbers that are found by
-doubling steps over parents, so a conversation of any length needs no window, collected list or path. The text is the message without
-quotes and attribution lines.
+and a reply comes after the message that it quotes and the replies to earlier siblings, depth first. A message carries its thread's first turn,
+its depth and its position in the thread. They are found by doubling steps over parents: sizes of subtrees, then sums of offsets among siblings on
+the way to the first turn. A conversation of any length needs no collected list or path, and siblings are summed in stretches of STRETCH
+turns. The text is the message without quotes and attribution lines.
 
 The index has all holders of what is quoted, as sets of quoted hashes: messages of a conversation that hold the same set are one entry with the
 smallest turn, and for quotes from elsewhere the first two conversations of a set are enough. Quotes of the same lines are scored once.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tracewell.llm.spark_util import cut
 
-SHORT = 12
+SHORT, STRETCH = 12, 1024
 _MARKS = r"^(\s*(?:>[ \t]?)+)"
 _WROTE = r"(?i)^.{0,200}\b(?:wrote|schrieb|a écrit|escribió)\s*:\s*$"
 
@@ -83,10 +84,29 @@ def links(rows: DataFrame) -> DataFrame:
     return best.select(*me, "depth", "b.to_conv", "b.to_turn", (-F.col("b.minus")).alias("chars"))
 
 
+def _offsets(replies: DataFrame) -> DataFrame:
+    """(conv_id, turn, top, place) of replies(conv_id, turn, top): a reply's place after its parent, behind the subtrees of earlier siblings."""
+    heads = replies.select("conv_id", F.col("top").alias("turn")).distinct().join(replies, ["conv_id", "turn"], "left_anti").withColumn("top", F.lit(None).cast("long"))
+    sizes = cut(replies.select("conv_id", "turn", F.col("top").cast("long").alias("top")).unionByName(heads.select("conv_id", "turn", "top")).select("*", F.col("top").alias("jump"), F.lit(1).cast("long").alias("size")))
+    while sizes.where("jump IS NOT NULL").limit(1).count():
+        below = sizes.where("jump IS NOT NULL").groupBy("conv_id", F.col("jump").alias("turn")).agg(F.sum("size").alias("more"))
+        next_ = sizes.select("conv_id", F.col("turn").alias("jump"), F.col("jump").alias("next"))
+        grown = sizes.join(below, ["conv_id", "turn"], "left").join(next_, ["conv_id", "jump"], "left")
+        sizes = cut(grown.select("conv_id", "turn", "top", F.col("next").alias("jump"), (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")))
+
+    # Sums over earlier siblings in two steps, over stretches of turns and in them: one message may have a large part of all replies.
+    replies = sizes.where("top IS NOT NULL").withColumn("stretch", F.floor(F.col("turn") / STRETCH))
+    before = lambda *by: W.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(W.unboundedPreceding, -1)
+    whole = replies.groupBy("conv_id", "top", "stretch").agg(F.sum("size").alias("size"))
+    whole = whole.select("conv_id", "top", "stretch", F.coalesce(F.sum("size").over(before("conv_id", "top", "stretch")), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum("size").over(before("conv_id", "top", "stretch", "turn")), F.lit(0))
+    return replies.withColumn("inside", inside).join(whole, ["conv_id", "top", "stretch"]).select("conv_id", "turn", "top", (F.col("base") + F.col("inside") + 1).alias("place"))
+
+
 def format_messages(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text, quoted_depth, parent_conv, parent_turn, thread_turn, depth, chat) of each row of messages.
+    """(conv_id, turn, role, text, quoted_depth, parent_conv, parent_turn, thread_turn, depth, position, chat) of each row of messages.
 
-    Ordering by conv_id, thread_turn and turn gives conversations in reply order.
+    Ordering by conv_id, thread_turn and position gives conversations in reply order.
     """
     rows = cut(parsed(messages))
     found = cut(links(rows))
@@ -95,21 +115,21 @@ def format_messages(messages: DataFrame) -> DataFrame:
 
     # Steps over parents within a conversation, doubled in each round; turns that reply to nothing begin threads.
     step = parents.where("conv_id = parent_conv").groupBy("conv_id", "turn").agg(F.min("parent_turn").alias("top"))
-    step = cut(step.select("conv_id", "turn", "top", F.lit(1).alias("depth"), F.lit(False).alias("done")))
+    step = cut(_offsets(step).select("conv_id", "turn", "top", "place", F.lit(1).alias("depth"), F.lit(False).alias("done")))
     while step.where("NOT done").limit(1).count():
-        above = step.select("conv_id", F.col("turn").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"), F.col("done").alias("last"))
+        above = step.select("conv_id", F.col("turn").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"), F.col("place").alias("further"), F.col("done").alias("last"))
         live = step.where("NOT done").join(above, ["conv_id", "top"], "left")
-        live = live.select("conv_id", "turn", F.coalesce("next", "top").alias("top"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("last", F.lit(True)).alias("done"))
+        live = live.select("conv_id", "turn", F.coalesce("next", "top").alias("top"), (F.col("place") + F.coalesce("further", F.lit(0))).alias("place"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("last", F.lit(True)).alias("done"))
         step = cut(step.where("done").unionByName(live))
 
-    out = rows.join(parents, me, "left").join(step.select("conv_id", "turn", "top", "depth"), ["conv_id", "turn"], "left")
+    out = rows.join(parents, me, "left").join(step.select("conv_id", "turn", "top", "place", "depth"), ["conv_id", "turn"], "left")
     return out.select(
         "conv_id", "turn", "role", F.col("own").alias("text"), F.coalesce(F.array_max(F.transform("lines", lambda x: x["depth"])), F.lit(0)).alias("quoted_depth"), "parent_conv", "parent_turn",
-        F.coalesce("top", "turn").alias("thread_turn"), F.coalesce("depth", F.lit(0)).alias("depth"), F.concat(F.lit("<|"), "role", F.lit("|>\n"), "own", F.lit("\n<|end|>\n")).alias("chat"),
+        F.coalesce("top", "turn").alias("thread_turn"), F.coalesce("depth", F.lit(0)).alias("depth"), F.coalesce("place", F.lit(0)).alias("position"), F.concat(F.lit("<|"), "role", F.lit("|>\n"), "own", F.lit("\n<|end|>\n")).alias("chat"),
     )
 
 
 def conversations(messages: DataFrame) -> DataFrame:
     """(conv_id, n_messages, chat): each conversation as one text in reply order, for conversations that fit into a task."""
     rows = format_messages(messages).where("conv_id IS NOT NULL")
-    return rows.groupBy("conv_id").agg(F.count("*").alias("n_messages"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("thread_turn", "turn", "chat"))), lambda x: x["chat"]), "").alias("chat"))
+    return rows.groupBy("conv_id").agg(F.count("*").alias("n_messages"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("thread_turn", "position", "turn", "chat"))), lambda x: x["chat"]), "").alias("chat"))
