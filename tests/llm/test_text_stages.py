@@ -87,7 +87,7 @@ def test_rules_agree_with_their_columns(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string, score int")
     labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(600)] + [(None, 1), (5, None)], "doc_id long, quality int")
     model = quality.train(docs, labels)
-    scored = quality.add_score(docs.drop("score"), model).collect()
+    scored = quality.add_score(docs.withColumn("_q_upper", docs["score"]), model).collect()
     plain = model.score(np.array([quality.statistics(r["text"]) for r in scored]))
     assert np.allclose([r["score"] for r in scored], plain) and all(0 <= r["score"] <= 1 for r in scored)
     right = [(r["score"] >= 0.5) == bool(r["doc_id"] % 3) for r in scored if r["doc_id"] < 600]

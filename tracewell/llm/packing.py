@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.llm.bpe import codec
 from tracewell.llm.spark_util import cut
 
 CAPACITY, END = 2048, 0
@@ -109,16 +110,18 @@ def pack_lengths(counts: Mapping[int, int], capacity: int = CAPACITY) -> tuple[n
     return np.array(sorted(bins.places), np.int64).reshape(-1, 4), bins.bins
 
 
-def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, special: Mapping[str, int], capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) of each document: its ids and the end id; only longer ones are cut, the first piece is the shorter one."""
-    special = dict(special)
+def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32) of each document: its ids and the end id; only longer ones are cut, the first piece is the shorter one.
+
+    Ids are those of this subpackage's own encoder for the vocabulary file, which are the library's; its time is linear in any text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(ranks_path, pattern, special)
+        encoder = codec(vocabulary)
         for b in batches:
             out: list[tuple[int, int, int, int, int]] = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.append(encoding.encode_to_numpy(text.as_py() or "", allowed_special="all"), end).astype("<u4")
+                ids = np.append(encoder.encode(text.as_py()), end).astype("<u4")
                 first = len(ids) % capacity or capacity
                 for k, to in enumerate(range(first, len(ids) + 1, capacity)):
                     at = max(0, to - capacity) if k else 0
@@ -128,22 +131,6 @@ def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, special: Mappin
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-_encodings: dict = {}
-
-
-def _encoding(ranks_path: str, pattern: str, special: dict[str, int]):
-    """The vocabulary of the tokenizers file as ranks, for the library that is the fastest of the equal ones."""
-    import base64
-
-    import tiktoken
-
-    if ranks_path not in _encodings:
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encodings[ranks_path] = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-    return _encodings[ranks_path]
-
-
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to rows with doc_id, piece and length (1 to capacity)."""
     pieces = cut(pieces)

@@ -9,7 +9,8 @@ source and the id are never inputs of a score.
 
 Defined results: null and empty texts have the statistics 0 (ratios 0) and get the score that the rules give for those. Labels that are
 null are left out; an id with several labels counts by their mean. Without labels the score is 0.5; with labels of one kind only it
-is the smoothed share of that kind. Repeated rows get the same score, further columns are kept by add_score.
+is the smoothed share of that kind. Repeated rows get the same score, further columns are kept by add_score, and one with the score's own
+name is replaced.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from tracewell.llm.spark_util import unused
+
 SAMPLE, TREES, DEPTH, LASSO, THRESHOLD = 20_000, 40, 3, 2e-3, 0.3
 STATISTICS = ["n_bytes", "n_words", "word_bytes", "upper", "digits", "bangs", "pipes", "symbols", "stops", "distinct", "repeats", "line_words", "longest_word", "wide"]
 _UPPER, _DIGITS, _SYMBOLS = bytes(range(65, 91)), b"0123456789", b"#$%&*+/<=>@[\\]^_`{}~"
@@ -56,9 +59,9 @@ def statistics(text: str | None) -> tuple[float, ...]:
     )
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text", prefix: str = "_q_") -> DataFrame:
-    """All columns of docs and one for each statistic."""
-    names = [prefix + s for s in STATISTICS]
+def with_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list[str]]:
+    """All columns of docs and one for each statistic, and the names of these."""
+    names = [unused(f"_q_{s}", docs.columns) for s in STATISTICS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -66,7 +69,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", prefix: str = "_q_"
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c) for c in found.T)], names=[*kept, *names])
 
     kept, at = docs.columns, docs.columns.index(text_col)
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *(StructField(n, DoubleType()) for n in names)]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *(StructField(n, DoubleType()) for n in names)])), names
 
 
 @dataclass(frozen=True)
@@ -187,8 +190,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fits on labelled rows outside the held-out fifth, at most `sample` of them."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("_label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = with_statistics(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")).drop("text").dropDuplicates().orderBy(F.xxhash64("doc_id"), "doc_id", *["_q_" + s for s in STATISTICS]).limit(sample)
-    got = rows.select("_label", *["_q_" + s for s in STATISTICS]).collect()
+    rows, names = with_statistics(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"))
+    rows = rows.drop("text").dropDuplicates().orderBy(F.xxhash64("doc_id"), "doc_id", *names).limit(sample)
+    got = rows.select("_label", *names).collect()
     data = np.array(got, np.float64).reshape(-1, 1 + len(STATISTICS))
     return fit_rules(data[:, 1:], data[:, 0])
 
@@ -198,6 +202,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def add_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """All columns of docs and the score."""
-    found = with_statistics(docs)
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns], model.column([F.col("_q_" + s) for s in STATISTICS]).alias(name))
+    """All columns of docs and the score; a column that already has its name is replaced."""
+    own = [c for c in docs.columns if c.lower() != name.lower()]
+    found, names = with_statistics(docs.select(*[F.col(f"`{c}`") for c in own]))
+    return found.select(*[F.col(f"`{c}`") for c in own], model.column([F.col(n) for n in names]).alias(name))

@@ -10,11 +10,8 @@ from pyspark.sql import functions as F
 from tracewell.llm import bpe, chat, html_crf, license_scan, line_dedup, media, near_vectors, ngram_join, packing, quality
 from tracewell.llm.spark_util import table
 
-SPECIAL = {"<|endoftext|>": 50256}
-
-
 def pack_documents(docs: DataFrame) -> DataFrame:
-    return packing.pack(packing.token_pieces(docs, bpe.vocabulary("byte_bpe_50k.tiktoken"), bpe.PATTERN, SPECIAL))
+    return packing.pack(packing.token_pieces(docs, bpe.vocabulary()))
 
 
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

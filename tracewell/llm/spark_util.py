@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +12,40 @@ from pyspark.sql import functions as F
 def cut(df: DataFrame) -> DataFrame:
     """Writes the rows to the session's checkpoint folder, which all executors share, and goes on from there.
 
-    The folder is the one in spark.checkpoint.dir; only where that is unset, as in tests on one machine, is one made.
+    The folder is the one in spark.checkpoint.dir. Only where that is unset and the session runs on this machine alone is one made; a cluster
+    without it is an error.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
 
 
+def unused(name: str, columns: Sequence[str]) -> str:
+    """The name, with as many underscores before it as keep it apart from the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def join_by_count(left: DataFrame, right: DataFrame, key: str, count: str, share: int = 500, least: int = 256) -> DataFrame:
+    """Inner join on a key of which right has one row with the number of left's rows, or less, in a column.
+
+    Keys with more than 1/share of left's rows are at most `share`; their rows stay where they are and right's are broadcast. The others are
+    shuffled. Both sides should be cut, for they are read twice.
+    """
+    limit = max(least, left.count() // share)
+    hot = [r[0] for r in right.where(F.col(count) > limit).select(key).collect()]
+    if not hot:
+        return left.join(right, key)
+    is_hot = F.col(key).isin(hot)
+    return left.where(is_hot).join(F.broadcast(right.where(is_hot)), key).unionByName(left.where(~is_hot).join(right.where(~is_hot), key))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,17 +61,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Rounds of large-star and small-star linking, as DataFrame aggregations and joins: each round links the neighbours of every id
     to the smallest of them, so that chains halve and a hub with many neighbours is only ever a key with a minimum (partial sums
-    come before the shuffle; joins on a hub are skew joins that adaptive execution splits). Rounds end when all edges form stars, so edges
+    come before the shuffle, and the edges of hubs aren't shuffled for the joins). Rounds end when all edges form stars, so edges
     that were components before cost one test. No edges give no rows.
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
     pairs = cut(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while not _are_stars(pairs):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_by_count(both, low, "u", "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = cut(large)
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = join_by_count(large, low, "u", "n")
         pairs = cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     roots = pairs.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
