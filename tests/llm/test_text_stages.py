@@ -38,6 +38,33 @@ def test_html_extraction(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+def test_long_and_deep_pages():
+    """Open elements that are never ended, end tags of nothing, and starts that look for something to end."""
+    import time
+
+    chain = html_crf.trained()
+    n = 20_000
+    began = time.process_time()
+    for html in ("<article>" + "<b>x y<br>" * n, "<article><p>" + "<i>" * n + "</u>" * n + "text", "<p><div>" + "<b>" * n + "<p>x</p>" * n, "<li>" * n + "x", "<div>" * n + "x" + "</div>" * n):
+        blocks = html_crf.leaf_blocks(html)
+        assert len(chain.decode(html_crf.features(blocks))) == len(blocks) > 0
+    assert time.process_time() - began < 30
+    assert chain.text("<article>" + "<b>some words<br>" * n + "</article><footer>&copy; me</footer>") == "\n".join(["some words"] * n)
+
+
+def test_pages_of_other_layouts():
+    """Pages laid out by hand, unlike those that the chain learns from."""
+    chain = html_crf.trained()
+    table = """<html><body><table><tr><td class="menu"><a href="/">Start</a> <a href="/b">Boards</a></td></tr><tr><td id="content"><h1>On tea</h1>
+<p>Tea is a drink that is made by pouring hot water over leaves.</p><ol><li>Boil the water.</li><li>Warm the pot.</li></ol></td></tr>
+<tr><td class="footer">Copyright by the authors. <a href="/legal">Legal</a></td></tr></table></body></html>"""
+    assert chain.text(table) == "On tea\nTea is a drink that is made by pouring hot water over leaves.\nBoil the water.\nWarm the pot."
+    blog = """<body><div class="navbar"><a href=/a>Home</a></div><div class="post"><h2>A day out</h2><p>We went to the lake, and <em>nobody</em> fell in.</p>
+<pre>the boat
+was   red</pre><div class="share">Share this</div></div><div id="comments"><h3>Comments</h3><p>I was there too, what a day it was.</p></div><footer>Made by hand</footer>"""
+    assert chain.text(blog) == "A day out\nWe went to the lake, and nobody fell in.\nthe boat was red"
+
+
 def test_line_dedup(spark):
     rng = random.Random(4)
     say = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))

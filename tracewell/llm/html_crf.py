@@ -3,7 +3,8 @@
 A page is read into leaf blocks: runs of text between the starts and ends of block elements and line breaks, each with the elements
 around it. Every block gets binary features of its ancestors' tags and class words, and of its text, and the chain says for each block
 whether it belongs to the article. Weights are learned by maximum likelihood (forward-backward) on labelled pages that this module makes from a
-fixed seed; decoding is by Viterbi. Pages of up to some thousand blocks and of any length go the same way.
+fixed seed; decoding is by Viterbi. Reading takes time and memory in
+proportion to the page, whatever its length and depth.
 
 Defined results: null and empty pages, and pages without article blocks, have the empty text. Repeated rows and ids are taken as they
 come; further columns are ignored.
@@ -14,6 +15,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -33,20 +35,52 @@ _SPACE = re.compile(r"[ \t\n\r\f\v   -     　]+")
 _WORD = re.compile(r"[a-z]+")
 
 
+#: A start tag looks for an element to end no further up than the nearest of these.
+_BOUNDS = frozenset("ul ol table div article section dl blockquote".split())
+
+
+class _Element:
+    """An open element. What its blocks inherit is kept as shared sets, so a page takes memory in proportion to its length, however deep."""
+
+    __slots__ = ("tag", "names", "inner", "depth", "bound", "around")
+
+    def __init__(self, tag: str, words: Sequence[str], above: _Element | None, place: int) -> None:
+        names = above.names if above else frozenset()
+        new = {"tag:" + tag, *("word:" + w for w in words)}
+        self.tag, self.names = tag, names if new <= names else names | new
+        block = tag not in _INLINE
+        self.inner = tag if block else above.inner if above else ""
+        self.depth = min(6, (above.depth if above else 0) + block)
+        self.bound = place if tag in _BOUNDS else above.bound if above else -1
+        self.around: tuple[int, ...] | None = None
+
+
+def _around(element: _Element | None) -> tuple[int, ...]:
+    """Slots of the ancestors' tags and class words; the innermost block element counts as a feature of its own."""
+    element = element or _NOWHERE
+    if element.around is None:
+        names = element.names | {"inner:" + element.inner, f"depth:{element.depth}"}
+        if "tag:article" not in names and "tag:main" not in names:
+            names |= {"outside"}
+        element.around = tuple(sorted(map(_slot, names)))
+    return element.around
+
+
 class _Blocks(HTMLParser):
-    """Collects (text, open elements, share of link text) for each leaf block."""
+    """Collects (text, innermost open element, share of link text) for each leaf block, in time linear in the page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, tuple[str, ...]]] = []
-        self.out: list[tuple[str, tuple[tuple[str, tuple[str, ...]], ...], float]] = []
+        self.open: list[_Element] = []
+        self.at: dict[str, list[int]] = defaultdict(list)  # the places of the open elements of each name
+        self.out: list[tuple[str, _Element | None, float]] = []
         self.text: list[str] = []
         self.hidden = self.linked = self.link_chars = 0
 
     def cut(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip(" ")
         if text:
-            self.out.append((text, tuple(self.open), min(1.0, self.link_chars / len(text))))
+            self.out.append((text, self.open[-1] if self.open else None, min(1.0, self.link_chars / len(text))))
         self.text, self.link_chars = [], 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -55,37 +89,32 @@ class _Blocks(HTMLParser):
         if tag in _VOID:
             return
         if tag in _CLOSING:
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] in _CLOSING[tag]:
-                    self._pop(i)
-                    break
-                if self.open[i][0] in ("ul", "ol", "table", "div", "article", "section", "dl", "blockquote"):
-                    break
-        words = tuple(w for k, v in attrs if k in ("class", "id", "role") and v for w in _WORD.findall(v.lower()))
-        self.open.append((tag, words))
+            last = max((self.at[t][-1] for t in _CLOSING[tag] if self.at.get(t)), default=-1)
+            if last > (self.open[-1].bound if self.open else -1):
+                self._pop(last)
+        words = [w for k, v in attrs if k in ("class", "id", "role") and v for w in _WORD.findall(v.lower())]
+        self.at[tag].append(len(self.open))
+        self.open.append(_Element(tag, words, self.open[-1] if self.open else None, len(self.open)))
         self.hidden += tag in _HIDDEN
         self.linked += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        if tag in _VOID:
-            self.handle_starttag(tag, attrs)
-        else:
-            self.handle_starttag(tag, attrs)
+        self.handle_starttag(tag, attrs)
+        if tag not in _VOID:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                if tag not in _INLINE:
-                    self.cut()
-                self._pop(i)
-                return
+        if self.at.get(tag):
+            if tag not in _INLINE:
+                self.cut()
+            self._pop(self.at[tag][-1])
 
     def _pop(self, i: int) -> None:
-        for tag, _ in self.open[i:]:
+        while len(self.open) > i:
+            tag = self.open.pop().tag
+            self.at[tag].pop()
             self.hidden -= tag in _HIDDEN
             self.linked -= tag == "a"
-        del self.open[i:]
 
     def handle_data(self, data: str) -> None:
         if not self.hidden:
@@ -94,7 +123,7 @@ class _Blocks(HTMLParser):
                 self.link_chars += len(data.strip())
 
 
-def leaf_blocks(html: str | None) -> list[tuple[str, tuple, float]]:
+def leaf_blocks(html: str | None) -> list[tuple[str, _Element | None, float]]:
     p = _Blocks()
     p.feed(html or "")
     p.close()
@@ -107,21 +136,13 @@ def _slot(name: str) -> int:
     return zlib.crc32(name.encode()) & (1 << BITS) - 1
 
 
-@lru_cache(maxsize=1 << 14)
-def _around(path: tuple) -> tuple[int, ...]:
-    """Slots of the ancestors' tags and class words; the innermost block element counts as a feature of its own."""
-    tags = [t for t, _ in path]
-    names = {"tag:" + t for t in tags} | {"word:" + w for _, words in path for w in words}
-    inner = next((t for t in reversed(tags) if t not in _INLINE), "")
-    names |= {"inner:" + inner, f"depth:{min(6, sum(t not in _INLINE for t in tags))}"}
-    if "article" not in tags and "main" not in tags:
-        names.add("outside")
-    return tuple(sorted(map(_slot, names)))
+_NOWHERE = _Element("", (), None, -1)
+_NOWHERE.names, _NOWHERE.inner, _NOWHERE.depth = frozenset(), "", 0
 
 
-def features(blocks: Sequence[tuple[str, tuple, float]]) -> list[tuple[int, ...]]:
+def features(blocks: Sequence[tuple[str, _Element | None, float]]) -> list[tuple[int, ...]]:
     out = []
-    for i, (text, path, linked) in enumerate(blocks):
+    for i, (text, element, linked) in enumerate(blocks):
         n = len(text)
         names = [f"chars:{min(9, n.bit_length())}", f"links:{int(linked * 4)}", "end:" + (text[-1] if text[-1] in ".!?:;|" else "other"), "bias"]
         if "©" in text or "·" in text:
@@ -130,7 +151,7 @@ def features(blocks: Sequence[tuple[str, tuple, float]]) -> list[tuple[int, ...]
             names.append("first")
         if i == len(blocks) - 1:
             names.append("last")
-        out.append((*_around(path), *map(_slot, names)))
+        out.append((*_around(element), *map(_slot, names)))
     return out
 
 
@@ -256,10 +277,11 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         aside("nav")
     for kind in rng.sample(["ad", "notice", "side", "share"], rng.randint(0, 3)):
         aside(kind)
-    shell = rng.choice(["article", "article", "article", "main", "div class=content", 'div id="post"', 'div class="article-body"', "section class=entry", 'div class="main"'])
+    shell = rng.choice(["article", "article", "article", "main", "div class=content", 'div id="post"', 'div class="article-body"', "section class=entry", 'div class="main"', 'div class="post"', 'div class="entry-content"', 'td id="content"', 'div class="story"'])
     html.append(f"<{shell}>")
     if rng.random() < 0.8:
-        block("<h1>", "</h1>", say(2, 12), True)
+        name = rng.choice(["h1", "h1", "h1", "h2"])
+        block(f"<{name}>", f"</{name}>", say(2, 12), True)
     for _ in range(rng.randint(1, 9)):
         r = rng.random()
         text = mark(say(3, 120) if r < 0.8 else say(1, 4))
@@ -278,6 +300,13 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
             block("<p>", "</p>", f'{say(2, 9)} <a href="/x">{say(1, 3)}</a> {say(2, 20)}.', True)
         elif r > 0.7:
             block("<p><b>", "<br>", text, True)
+        elif r > 0.67:
+            block("<pre>", "</pre>", text, True)
+        elif r > 0.64:
+            html.append("<ol>")
+            for _ in range(rng.randint(1, 4)):
+                block("<li>", "</li>", mark(say(2, 15)), True)
+            html.append("</ol>")
         else:
             block("<p>", rng.choice(["</p>", "</p>", ""]), text, True)
     if rng.random() < 0.15:
