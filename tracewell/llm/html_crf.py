@@ -269,13 +269,14 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         html.append(f"</{t}>")
 
     html.append(f"<!DOCTYPE html><html><head><meta charset=utf-8><title>{say(2, 8)}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body>")
-    if rng.random() < 0.4:
+    bare = rng.random() < 0.1  # nothing before the article
+    if not bare and rng.random() < 0.4:
         html.append("<header>")
         block(rng.choice(["<h1>", "<div>", "<p>"]), "", say(1, 5), False)
         html.append("</header>")
-    if rng.random() < 0.85:
+    if not bare and rng.random() < 0.85:
         aside("nav")
-    for kind in rng.sample(["ad", "notice", "side", "share"], rng.randint(0, 3)):
+    for kind in rng.sample(["ad", "notice", "side", "share"], 0 if bare else rng.randint(0, 3)):
         aside(kind)
     shell = rng.choice(["article", "article", "article", "main", "div class=content", 'div id="post"', 'div class="article-body"', "section class=entry", 'div class="main"', 'div class="post"', 'div class="entry-content"', 'td id="content"', 'div class="story"'])
     html.append(f"<{shell}>")
