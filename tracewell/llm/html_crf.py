@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITS = 12
+BITS = 13
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _HIDDEN = frozenset("script style noscript template head title svg math iframe object canvas select textarea option button".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,7 +50,7 @@ class _Element:
         self.tag, self.names = tag, names if new <= names else names | new
         block = tag not in _INLINE
         self.inner = tag if block else above.inner if above else ""
-        self.depth = min(6, (above.depth if above else 0) + block)
+        self.depth = min(6, (above.depth if above else 0) + (block and tag not in ("html", "body")))
         self.bound = place if tag in _BOUNDS else above.bound if above else -1
         self.around: tuple[int, ...] | None = None
 
@@ -308,6 +308,9 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
             for _ in range(rng.randint(1, 4)):
                 block("<li>", "</li>", mark(say(2, 15)), True)
             html.append("</ol>")
+        elif r > 0.61:
+            block(rng.choice(["<br>", "<br><b>"]), "<br>", text, True)
+            html.append("</b>")
         else:
             block("<p>", rng.choice(["</p>", "</p>", ""]), text, True)
     if rng.random() < 0.15:
