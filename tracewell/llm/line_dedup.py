@@ -12,11 +12,12 @@ many near copies share stays once.
 
 How it is spread: leaves with fewer than RECURS lines, or lines of one text only, can't hold a recurring template and are dropped by a count, a
 minimum and a maximum. Of the others, each template's texts are made distinct by (template, text), and then counted; both sums begin before the
-shuffle, so a line in a third of all documents is no hot key. Only the places of lines are joined back to the texts.
+shuffle. Where lines are joined with a leaf or a template that holds more than 1/500 of them, the lines stay where they are. Only the
+places of lines are joined back to the texts.
 
 Defined results: a null text stays null and counts as no lines; a text without a dropped line stays as it is, byte for byte. Lines of fewer
-than SHORT words are never dropped. Repeated rows get the same text. No rows give no rows; further columns are kept, and columns of
-this operator's own names are replaced.
+than SHORT words are never dropped. A null id counts as the largest one. Repeated rows get the same text, so do the other rows with the
+first document's id. No rows give no rows; further columns are kept, and columns named n_lines or n_dropped are replaced.
 """
 
 from __future__ import annotations
@@ -28,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tracewell.llm.spark_util import cut
+from tracewell.llm.spark_util import cut, join_by_count, unused
 
 LEAD, SHORT, WIDE, PARTS, RECURS = 3, 5, 10, 4, 3
 _DIGITS = b"0123456789"
+_LARGEST = (1 << 63) - 1
 
 
 def _hash(data: bytes) -> int:
@@ -80,19 +82,19 @@ def parsed_lines(docs: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("content"))
+    given = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LARGEST)).alias("doc_id"), "text", F.xxhash64("text").alias("content"))
     return given.mapInArrow(run, "doc_id long, content long, line int, words int, doc_words int, leaf long, keys array<long>")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, content, lines): the numbers of the lines to drop, from 0."""
-    lines = parsed_lines(docs)
-    leaves = lines.groupBy("leaf").agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b")).where(f"n >= {RECURS} AND a <> b").select("leaf")
-    open_ = cut(lines.join(leaves, "leaf"))
-    keyed = open_.select("doc_id", "content", "line", "words", "doc_words", F.explode("keys").alias("key"))
+    lines = cut(parsed_lines(docs))
+    leaves = lines.groupBy("leaf").agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b")).where(f"n >= {RECURS} AND a <> b").select("leaf", "n")
+    open_ = join_by_count(lines, cut(leaves), "leaf", "n").drop("n", "leaf")
+    keyed = cut(open_.select("doc_id", "content", "line", "words", "doc_words", F.explode("keys").alias("key")))
     by_text = keyed.groupBy("key", "content").agg(F.min("doc_id").alias("first"))
-    recurring = by_text.groupBy("key").agg(F.count("*").alias("n"), F.min("first").alias("first")).where(f"n >= {RECURS}").select("key", "first")
-    hits = keyed.join(recurring, "key").groupBy("doc_id", "content", "line").agg(F.first("words").alias("words"), F.first("doc_words").alias("doc_words"), F.max(F.col("first") == F.col("doc_id")).alias("is_first"))
+    recurring = cut(by_text.groupBy("key").agg(F.count("*").alias("n"), F.min("first").alias("first")).where(f"n >= {RECURS}"))
+    hits = join_by_count(keyed, recurring, "key", "n").groupBy("doc_id", "content", "line").agg(F.first("words").alias("words"), F.first("doc_words").alias("doc_words"), F.max(F.col("first") == F.col("doc_id")).alias("is_first"))
     by_doc = hits.groupBy("doc_id", "content").agg(F.sum("words").alias("recurring"), F.first("doc_words").alias("doc_words"), F.collect_set(F.struct("line", "is_first")).alias("found"))
     kept_first = F.col("recurring") * 2 >= F.col("doc_words")
     return by_doc.select("doc_id", "content", F.transform(F.filter("found", lambda x: ~(kept_first & x["is_first"])), lambda x: x["line"]).alias("lines")).where("size(lines) > 0")
@@ -101,9 +103,10 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """All columns of docs, the text without the dropped lines, and n_lines and n_dropped."""
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    given = docs.select(*[F.col(f"`{c}`") for c in own]).withColumn("_content", F.xxhash64("text")).withColumn("_id", F.col("doc_id").cast("long"))
-    drops = dropped_lines(docs).select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("lines").alias("_lines"))
-    joined = given.join(drops, ["_id", "_content"], "left").select(*[F.col(f"`{c}`") for c in own], "_lines")
+    row, content, lines = (unused(n, docs.columns) for n in ("_id", "_content", "_lines"))
+    given = docs.select(*[F.col(f"`{c}`") for c in own], F.coalesce(F.col("doc_id").cast("long"), F.lit(_LARGEST)).alias(row), F.xxhash64("text").alias(content))
+    drops = dropped_lines(docs).toDF(row, content, lines)
+    joined = given.join(drops, [row, content], "left").select(*[F.col(f"`{c}`") for c in own], lines)
     at = own.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
