@@ -18,8 +18,8 @@ How it is spread:
 A shingle is known by 48 bits of a hash where sets are compared, a set by 64.
 
 Defined results: words are runs of bytes other than ASCII white space, A-Z lowered. A text with fewer words than a shingle is one shingle; a
-null text or one without words has the empty set, which links with nothing. Rows that repeat an id are linked with each other. No rows give
-no rows, further columns are ignored.
+null text or one without words has the empty set, which links with nothing. Rows that repeat an id are rows of their own: each gets the
+component of its own text. Null ids count as the largest where one row of a component is chosen. No rows give no rows, further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,12 +31,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tracewell.llm.spark_util import components, cut
+from tracewell.llm.spark_util import components, cut, unused
 
 WORDS, PERCENT, FREQUENT = 5, 80, 128
 BANDS, BAND_ROWS, STARS = 16, 3, 3
+_LARGEST = (1 << 63) - 1
 _FLUSH_TOKENS, _FLUSH_SETS = 6_000_000, 60_000
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
@@ -90,18 +92,19 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, node) of each row; node is null for the empty set."""
+    """(doc_id, content, n_shingles, node) of each row; content is a hash of the text, node is null for the empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, node = [], []
-            for t in b.column(1):
+            for t in b.column(2):
                 s = shingles(t.as_py(), words)
                 n.append(len(s))
                 node.append(set_id(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64())], names=["doc_id", "n_shingles", "node"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(node, pa.int64())], names=["doc_id", "content", "n_shingles", "node"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, node long")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("content"), "text")
+    return given.mapInArrow(run, "doc_id long, content long, n_shingles long, node long")
 
 
 def _packed(docs: DataFrame, bits: int, words: int) -> DataFrame:
@@ -295,12 +298,36 @@ def links(docs: DataFrame, n_rows: int, words: int = WORDS, percent: int = PERCE
     return known.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(_verified(pairs, indexed, percent))
 
 
+def _components(rows: DataFrame, docs: DataFrame, words: int, percent: int, frequent: int) -> DataFrame:
+    """(node, component) of each distinct set of the rows."""
+    found = components(cut(links(docs, rows.count(), words, percent, frequent))).select(F.col("id").alias("node"), "component")
+    sets = rows.where("node IS NOT NULL").select("node").distinct()
+    return sets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id): the size of each row's set, the smallest id that is reachable by links, and a number of its distinct set."""
     rows = cut(document_sets(docs, words))
-    found = components(cut(links(docs, rows.count(), words, percent, frequent))).select(F.col("id").alias("node"), "component")
-    sets = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("low"))
-    sets = sets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sets = _components(rows, docs, words, percent, frequent).join(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("low")), "node")
     low = sets.groupBy("component").agg(F.min("low").alias("component_id"))
     sets = sets.join(low, "component").select("node", "component_id")
     return rows.join(sets, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.col("node").alias("class_id"))
+
+
+def without_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
+    """All columns of docs, and of each component's rows only one: that with the smallest id, and of these the one with the smallest hash of its text.
+
+    Rows without shingles stay. What goes is known by (id, hash of the text), so rows that share an id are told apart; of rows that are the same in
+    both, one stays.
+    """
+    row, content, kept = (unused(n, docs.columns) for n in ("_row", "_content", "_kept"))
+    rows = cut(document_sets(docs, words).where("node IS NOT NULL").withColumn("doc_id", F.coalesce("doc_id", F.lit(_LARGEST))))
+    places = rows.groupBy("node", "doc_id", "content").agg(F.count("*").alias("copies")).join(_components(rows, docs, words, percent, frequent), "node")
+    places = cut(places.select("component", "doc_id", "content", "copies"))
+    best = places.groupBy("component").agg(F.min(F.struct("doc_id", "content")).alias("best"))
+    marked = places.join(best, "component").withColumn("kept", (F.col("best.doc_id") == F.col("doc_id")) & (F.col("best.content") == F.col("content")))
+    marked = marked.where("NOT kept OR copies > 1").select(F.col("doc_id").alias(row), F.col("content").alias(content), F.col("kept").alias(kept))
+    given = docs.withColumns({row: F.coalesce(F.col("doc_id").cast("long"), F.lit(_LARGEST)), content: F.xxhash64("text")}).join(marked, [row, content], "left")
+    place = unused("_place", docs.columns)
+    given = given.withColumn(place, F.row_number().over(W.partitionBy(row, content).orderBy(row)))
+    return given.where(F.col(kept).isNull() | (F.col(kept) & (F.col(place) == 1))).select(*[F.col(f"`{c}`") for c in docs.columns])
