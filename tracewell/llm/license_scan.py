@@ -10,7 +10,8 @@ vector of (line, n, term) rows, and meets the notices in a join on the term.
 A text is a licence file in two cases: its whole vector is close to a notice and lines with a word of the notices make up four fifths of it; or its
 whole vector is close to a full licence text, four fifths of its words are of those texts, and it has half as many of them as that text or more. A
 document without a licence of its own takes that of the licence file in the nearest directory above it, by a join of the distinct
-directories' ancestors with the directories that have one.
+directories' ancestors with the directories that have one. A file grants its licence if it is the text of a licence, or if it has the name of a licence
+file (NAMES); a page that only says how it is licensed itself doesn't.
 
 The templates are fixed tables of this module, so broadcasting them is bounded; nothing else is broadcast by hand.
 
@@ -34,6 +35,8 @@ HEADER, FILE = 0.72, 0.72
 SALTS = 64
 #: Lines of a header at most; the longest notice is wrapped to so many at 40 columns.
 WINDOW = 6
+#: Names of files that speak for their directory.
+NAMES = r"(?i)^(un)?licen[cs]e|^copying|^copyright|^notice"
 TEXTS = Path(__file__).with_name("licenses")
 #: Names and the usual wording of notices.
 TEMPLATES = [
@@ -143,14 +146,15 @@ def scan(files: DataFrame) -> DataFrame:
     whole = cut(whole.groupBy("content", "size", "term").agg(F.count("*").alias("times")).join(copies, "content").select("content", "size", "term", F.expr("times div copies").alias("tf")))
     least = F.expr("CASE license " + " ".join(f"WHEN '{n}' THEN {k}" for n, k in sizes.items()) + " END")
     whole = closest(whole, full_shape, full_weights, "content", "size").where((F.col("similarity") >= FILE) & (2 * F.col("size") >= least)).select("content", "license", "similarity")
-    whole = whole.unionByName(short).groupBy("content").agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "license")).alias("f"))
-    whole = whole.select("content", F.struct("f.license", (-F.col("f.minus")).alias("similarity")).alias("f"))
+    whole = whole.withColumn("short", F.lit(False)).unionByName(short.withColumn("short", F.lit(True))).groupBy("content").agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "license", "short")).alias("f"))
+    whole = whole.select("content", F.struct("f.license", (-F.col("f.minus")).alias("similarity"), "f.short").alias("f"))
     found = own.join(whole, "content", "full")
     parts = F.split("path", "/")
     rows = given.select("doc_id", "path", "content", F.when(F.size(parts) > 1, F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/")).otherwise(F.when(F.col("path").isNotNull(), F.lit(""))).alias("dir"))
-    rows = cut(rows.join(found, "content", "left").select("doc_id", "path", "dir", F.coalesce("f.license", "h.license").alias("license"), F.coalesce(F.col("f.similarity"), -F.col("h.minus")).alias("similarity"), F.when(F.col("f").isNotNull(), "file").when(F.col("h").isNotNull(), "header").alias("how")))
+    grants = F.col("f").isNotNull() & F.col("dir").isNotNull() & (~F.col("f.short") | F.element_at(parts, -1).rlike(NAMES))
+    rows = cut(rows.join(found, "content", "left").select("doc_id", "path", "dir", F.coalesce(grants, F.lit(False)).alias("grants"), F.coalesce("f.license", "h.license").alias("license"), F.coalesce(F.col("f.similarity"), -F.col("h.minus")).alias("similarity"), F.when(F.col("f").isNotNull(), "file").when(F.col("h").isNotNull(), "header").alias("how")))
 
-    granting = rows.where("how = 'file' AND dir IS NOT NULL").groupBy("dir").agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "license")).alias("g")).select(F.col("dir").alias("above"), "g")
+    granting = rows.where("grants").groupBy("dir").agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "license")).alias("g")).select(F.col("dir").alias("above"), "g")
     steps = F.split("dir", "/")
     dirs = rows.where("dir IS NOT NULL").select("dir").distinct()
     above = dirs.select("dir", F.explode(F.when(F.col("dir") == "", F.array(F.lit(""))).otherwise(F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), "/"))))).alias("above"))
