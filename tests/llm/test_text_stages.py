@@ -106,6 +106,39 @@ def test_line_dedup_counts_documents(spark):
     assert dropped == {**dict.fromkeys(range(3), 2), **dict.fromkeys(range(10, 14), 1), **dict.fromkeys(range(20, 26), 0)}
 
 
+def test_line_dedup_against_counting(spark):
+    """Ids that are null or repeat, columns with the operator's own inner names, very long lines; counted again in plain Python."""
+    rng = random.Random(12)
+    say = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))
+    pool = [say(rng.choice([3, 5, 8, 12, 30])) for _ in range(25)] + [say(30_000)]
+    rows = [(rng.choice([None, *range(60)]), "\n".join(rng.choice(pool) if rng.random() < 0.5 else say(9) for _ in range(rng.randint(1, 8)))) for _ in range(80)]
+    rows += [rows[3], (7, None), (None, None), (None, ""), (8, "\n\n")]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in rows], "doc_id long, text string, _lines int, _id int, _content int, n_dropped int")
+    got = line_dedup.dedup_lines(docs).collect()
+    last = (1 << 63) - 1
+    found = {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if parsed := line_dedup.parse(line):
+                for key in parsed[1]:
+                    found.setdefault(key, []).append((last if i is None else i, t))
+    first = {k: min(i for i, _ in v) for k, v in found.items() if len({t for _, t in v}) >= 3}
+
+    def plain(i, t):
+        if t is None:
+            return None
+        i, lines, total, recurring, drop = last if i is None else i, t.split("\n"), len(t.split()), 0, set()
+        for n, line in enumerate(lines):
+            keys = [k for k in (line_dedup.parse(line) or (0, []))[1] if k in first]
+            if keys:
+                recurring += len(line.split())
+                drop.add((n, any(first[k] == i for k in keys)))
+        return "\n".join(x for n, x in enumerate(lines) if (n, False) not in drop and ((n, True) not in drop or 2 * recurring >= total))
+
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in got))) == sorted(map(repr, ((i, plain(i, t)) for i, t in rows)))
+    assert all((r["_lines"], r["_id"], r["_content"]) == (1, 2, 3) for r in got) and sum(r["n_dropped"] for r in got) > 50
+
+
 def test_rules_agree_with_their_columns(spark):
     rng = random.Random(5)
     good = lambda: ". ".join(" ".join("".join(rng.choice("aeioutnsr") for _ in range(rng.randint(2, 8))) for _ in range(9)).capitalize() for _ in range(6))
@@ -207,6 +240,57 @@ def test_branching_threads(spark):
     assert [x.split()[1] for x in chats[1].split("\n") if x.startswith("message")] == ["0", "1", "3", "2"]
 
 
+def test_quotations_of_odd_tables(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.format_messages(none).count() == 0 and chat.conversations(none).count() == 0
+    long = "\n".join(f"line number {i} of a very long message" for i in range(3000))
+    rows = [(1, 0, "user", long), (1, 1, "user", "> line number 2999 of a very long message\nI see."), (1, 1, "user", "> line number 2999 of a very long message\nI see."), (1, 2, "user", ">" * 60 + " deep\n> > > \n>"), (2, None, "user", "x"), (None, 3, "user", "x")]
+    clash = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], "conv_id long, turn long, role string, text string, lines int, own int, depth int, key int")
+    got = chat.format_messages(clash).collect()
+    assert len(got) == len(rows) and [(r["parent_turn"], r["text"]) for r in got if (r["conv_id"], r["turn"]) == (1, 1)] == [(0, "I see.")] * 2
+    assert next(r["quoted_depth"] for r in got if r["turn"] == 2) == 60
+
+
+def test_jaccard_stage_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as p
+
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    base = [words(40) for _ in range(12)]
+    near = lambda w: " ".join([*w[:-1], "other"])
+    rows = [(3, " ".join(base[0])), (5, " ".join(base[0])), (5, " ".join(base[1])), (9, " ".join(base[1]))]
+    rows += [(rng.choice([None, None, *range(20, 40)]), rng.choice([" ".join, near])(rng.choice(base))) for _ in range(60)]
+    rows += [(50, None), (50, None), (None, None), (51, ""), (51, "two words"), (None, "two words"), (None, "Two words"), (52, "two words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = p.ngram_jaccard(spark, docs, "").collect()
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        s = frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+        sets[t] = s
+    groups = []
+    for i, t in rows:
+        if sets[t]:
+            hit = [g for g in groups if any(100 * len(sets[t] & sets[x]) >= 80 * len(sets[t] | sets[x]) for _, x in g)]
+            groups = [g for g in groups if g not in hit] + [sum(hit, []) + [(i, t)]]
+    kept = [(r["doc_id"], r["text"]) for r in got]
+    assert [x for x in kept if not sets[x[1]]].__len__() == sum(not sets[t] for _, t in rows)
+    full = [x for x in kept if sets[x[1]]]
+    assert len(full) == len(groups)
+    for g in groups:
+        own = [x for x in full if x in g]
+        ids = [i for i, _ in g if i is not None]
+        assert len(own) == 1 and own[0][0] == (min(ids) if ids else None)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline as p
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert p.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as p
 

@@ -451,8 +451,15 @@ def streams(docs: DataFrame, lpc_order: int = 0) -> DataFrame:
 
 
 def digest(docs: DataFrame, lpc_order: int = 0) -> DataFrame:
-    """Stores each text, reads the stored bytes back, and returns sums of both and features of what was read."""
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    """Stores each text, reads the stored bytes back, and returns sums of both and features of what was read.
+
+    The end of a stream with more than one seek point is read by its last point. n_blocks and last_offset are the number of PCM blocks
+    and the sample that the last one begins at.
+    """
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_blocks", "last_offset"]
+
+    def end(stream: bytes, payload: bytes) -> bytes:
+        return (seek(stream, len(payload) - 1) if len(payload) > POINTS * BLOCK else payload)[-16:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -463,11 +470,13 @@ def digest(docs: DataFrame, lpc_order: int = 0) -> DataFrame:
                     pa.array([len(r) for r in rows], pa.int64()),
                     pa.array([len(p) for p in read], pa.int64()),
                     pa.array([hashlib.sha256(p).hexdigest() for p in read]),
-                    pa.array([zlib.crc32(p[-16:]) for p in read], pa.int64()),
+                    pa.array([zlib.crc32(end(m, p)) for m, p in zip(media, read)], pa.int64()),
                     pa.array([len(m) for m in media], pa.int64()),
                     pa.array([hashlib.sha256(m).hexdigest() for m in media]),
                     pa.array([features(p) for p in read]),
+                    pa.array([len(p) // BLOCK for p in read], pa.int64()),
+                    pa.array([len(p) - BLOCK for p in read], pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(rows)), *columns], names=names)
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_blocks long, last_offset long")
