@@ -1,7 +1,7 @@
 """A corpus pipeline: quality classifier, line dedup, n-gram Jaccard join, best-fit packing.
 
 Each stage gets a table with the columns of ``documents`` and all but the last return one; ``run`` writes each result to the shared
-checkpoint folder before the next stage reads it. Repeated and null ids go through as rows of their own.
+checkpoint folder before the next stage reads it. Rows are told apart by id and text, so ids may repeat and be null.
 """
 
 from __future__ import annotations
@@ -32,11 +32,8 @@ def line_templates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each linked group; documents without words link with nothing and stay."""
-    docs = docs.select(*COLUMNS)
-    classes = ngram_join.near_duplicates(docs)
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps one row of each linked group, that with the smallest id; documents without words link with nothing and stay."""
+    return ngram_join.without_duplicates(docs.select(*COLUMNS))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
