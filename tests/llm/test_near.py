@@ -84,3 +84,45 @@ def test_near_vectors(spark):
     assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i, *_ in odd)
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values())
     assert near_vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_near_vectors_of_several_lengths(spark):
+    """Directions of unequal weight around a common offset, in three lengths at once, with repeated ids and columns named like inner ones."""
+    rng = np.random.default_rng(8)
+    rows, want_links, want = [], {}, {}
+    for at, d in ((0, 48), (10_000, 20), (20_000, 1)):
+        x = rng.normal(size=(700, d)) / np.arange(1, d + 1) + 0.3 * rng.normal(size=d)
+        x = np.vstack([x, x[:200] + rng.normal(size=(200, d)) * 0.1 / np.arange(1, d + 1), x[:3]])
+        unit = near_vectors.unit(x)
+        s = unit @ unit.T >= 0.95
+        np.fill_diagonal(s, False)
+        rows += [(at + i, v.tolist(), 0, 0) for i, v in enumerate(x)]
+        want_links |= {at + i: int(k) for i, k in enumerate(s.sum(1))}
+        want |= _brute([at + i for i in range(len(x))], [(at + i, at + j) for i, j in zip(*np.nonzero(s)) if i < j])
+    rows += [rows[5], rows[5]]
+    got = near_vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, node int, low int")).collect()
+    assert len(got) == len(rows)
+    found = {r["vec_id"]: r["n_links"] for r in got}
+    assert all(found[i] <= want_links[i] for i in found) and sum(found.values()) >= 0.95 * sum(want_links.values())
+    assert sum(r["component_id"] == want[r["vec_id"]] for r in got) >= 0.95 * len(got)
+
+
+def test_recall_at_the_threshold():
+    """New pairs with a cosine of exactly 0.95 meet in a table and are within the radius."""
+    rng = np.random.default_rng(2)
+    d = 64
+    centres, offset = rng.normal(size=(200, d)), rng.normal(size=d) * 0.2
+    kinds = {
+        "isotropic": lambda m: rng.normal(size=(m, d)),
+        "clustered": lambda m: centres[rng.integers(0, 200, m)] + 0.7 * rng.normal(size=(m, d)),
+        "falling": lambda m: rng.normal(size=(m, d)) / np.arange(1, d + 1),
+        "falling around an offset": lambda m: rng.normal(size=(m, d)) / np.arange(1, d + 1) + offset,
+    }
+    for name, make in kinds.items():
+        sample, other = near_vectors.unit(make(4096)), near_vectors.unit(make(3000))
+        for n in (10_000, 10**8):
+            index = near_vectors.learn(sample, n)
+            for a, b in near_vectors.threshold_pairs(other, 0.95, seed=77):
+                (ka, wa), (kb, wb) = index.codes(a), index.codes(b)
+                met = near_vectors._met(ka ^ kb, wa, wb).any(1) & (np.bitwise_count(ka ^ kb).sum(1) <= index.radius)
+                assert met.mean() >= 0.95, (name, n)
