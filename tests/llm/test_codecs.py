@@ -55,6 +55,14 @@ def test_long_runs(library):
     for t in ("x" + " " * 1_000_000 + "y", "\n" * 300_000, "ab" * 200_000, "\t \u00a0" * 100_000 + "z"):
         got = c.encode(t)
         assert got.tolist() == library.encode(t, add_special_tokens=False).ids and c.decode(got) == t
+        assert packing.encode(t, bpe.vocabulary()).tolist() == got.tolist()
+
+
+def test_both_encoders_are_the_same(library):
+    texts = [*TEXTS, *_random_texts(500), "a" + " " * 9_990 + "b", "a" + " \n" * 9_990 + "b", "z" * 300_000]
+    for t in texts:
+        want = library.encode(t, add_special_tokens=False).ids
+        assert packing.encode(t, bpe.vocabulary()).tolist() == want
 
 
 def test_round_trip_query(spark, library):

@@ -38,6 +38,15 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """The ids of a vocabulary file's tokens, which are in the order of the merges, and those of its special ones."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    letters = _byte_letters()
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    return {bytes(letters[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in special}, special
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
