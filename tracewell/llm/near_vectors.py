@@ -35,7 +35,7 @@ THRESHOLD, SAMPLE, RECALL, BLOCK, ROUNDS = 0.95, 4096, 0.98, 512, 25
 #: Bits that are learned at most, and pairs of each kind that the tables are measured with.
 BITS, PAIRS = 2048, 1500
 #: Rows and pairs that a task takes together.
-_ROWS, _CHUNK = 16_384, 1 << 18
+_ROWS, _CHUNK = 2048, 1 << 18
 #: Rough costs of a row of a table, of a vector that is sent to a bucket, and of a compared pair.
 _PER_ROW, _PER_VECTOR, _PER_PAIR = 2.0, 15.0, 0.3
 _U = np.uint64

@@ -91,20 +91,19 @@ def set_id(tokens: np.ndarray) -> int:
     return int((_mix(tokens ^ _ODD).sum(dtype=_U, keepdims=True) + _mix(np.array([len(tokens)], _U))).view(np.int64)[0])
 
 
-def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, content, n_shingles, node) of each row; content is a hash of the text, node is null for the empty set."""
+def document_sets(docs: DataFrame, words: int = WORDS, *kept: str) -> DataFrame:
+    """(doc_id, n_shingles, node) of each row, and the long columns that are to be kept; node is null for the empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, node = [], []
-            for t in b.column(2):
+            for t in b.column(1):
                 s = shingles(t.as_py(), words)
                 n.append(len(s))
                 node.append(set_id(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(node, pa.int64())], names=["doc_id", "content", "n_shingles", "node"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), *b.columns[2:]], names=["doc_id", "n_shingles", "node", *kept])
 
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("content"), "text")
-    return given.mapInArrow(run, "doc_id long, content long, n_shingles long, node long")
+    return docs.select(F.col("doc_id").cast("long"), "text", *kept).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "n_shingles", "node", *kept)))
 
 
 def _packed(docs: DataFrame, bits: int, words: int) -> DataFrame:
@@ -298,17 +297,12 @@ def links(docs: DataFrame, n_rows: int, words: int = WORDS, percent: int = PERCE
     return known.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(_verified(pairs, indexed, percent))
 
 
-def _components(rows: DataFrame, docs: DataFrame, words: int, percent: int, frequent: int) -> DataFrame:
-    """(node, component) of each distinct set of the rows."""
-    found = components(cut(links(docs, rows.count(), words, percent, frequent))).select(F.col("id").alias("node"), "component")
-    sets = rows.where("node IS NOT NULL").select("node").distinct()
-    return sets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id): the size of each row's set, the smallest id that is reachable by links, and a number of its distinct set."""
     rows = cut(document_sets(docs, words))
-    sets = _components(rows, docs, words, percent, frequent).join(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("low")), "node")
+    found = components(cut(links(docs, rows.count(), words, percent, frequent))).select(F.col("id").alias("node"), "component")
+    sets = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("low"))
+    sets = sets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     low = sets.groupBy("component").agg(F.min("low").alias("component_id"))
     sets = sets.join(low, "component").select("node", "component_id")
     return rows.join(sets, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.col("node").alias("class_id"))
@@ -321,8 +315,11 @@ def without_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     both, one stays.
     """
     row, content, kept = (unused(n, docs.columns) for n in ("_row", "_content", "_kept"))
-    rows = cut(document_sets(docs, words).where("node IS NOT NULL").withColumn("doc_id", F.coalesce("doc_id", F.lit(_LARGEST))))
-    places = rows.groupBy("node", "doc_id", "content").agg(F.count("*").alias("copies")).join(_components(rows, docs, words, percent, frequent), "node")
+    keyed = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LARGEST)).alias("doc_id"), F.xxhash64("text").alias("content"))
+    rows = cut(document_sets(keyed, words, "content"))
+    found = components(cut(links(docs, rows.count(), words, percent, frequent))).select(F.col("id").alias("node"), "component")
+    places = rows.where("node IS NOT NULL").groupBy("node", "doc_id", "content").agg(F.count("*").alias("copies"))
+    places = places.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     places = cut(places.select("component", "doc_id", "content", "copies"))
     best = places.groupBy("component").agg(F.min(F.struct("doc_id", "content")).alias("best"))
     marked = places.join(best, "component").withColumn("kept", (F.col("best.doc_id") == F.col("doc_id")) & (F.col("best.content") == F.col("content")))

@@ -40,20 +40,29 @@ def join_by_count(left: DataFrame, right: DataFrame, key: str, count: str, share
     """
     limit = max(least, left.count() // share)
     hot = [r[0] for r in right.where(F.col(count) > limit).select(key).collect()]
-    if not hot:
-        return left.join(right, key)
-    is_hot = F.col(key).isin(hot)
-    return left.where(is_hot).join(F.broadcast(right.where(is_hot)), key).unionByName(left.where(~is_hot).join(right.where(~is_hot), key))
+    return _split_join(left, right, key, hot)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _are_stars(pairs: DataFrame) -> bool:
-    """Each u has one v, and no id is a u and a v: nothing is left to link."""
-    ends = pairs.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(pairs.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 AND up > 0").isEmpty()
+def _split_join(left: DataFrame, right: DataFrame, key: str, hot: list) -> DataFrame:
+    """Inner join where the left rows of some keys, of which right has one row each, stay where they are."""
+    if not hot:
+        return left.join(right, key)
+    is_hot = F.col(key).isin(hot)
+    return left.where(is_hot).join(F.broadcast(right.where(is_hot)), key).unionByName(left.where(~is_hot).join(right.where(~is_hot), key))
+
+
+def _state(pairs: DataFrame, share: int = 500, least: int = 256) -> tuple[bool, list]:
+    """Whether the edges form stars, so that nothing is left to link; and (id, smallest neighbour) of the ids in more than 1/share of them, at most 2 * share."""
+    limit = max(least, pairs.count() // share)
+    ends = pairs.select(F.col("u").alias("id"), F.col("v").alias("o"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(pairs.select(F.col("v").alias("id"), F.col("u").alias("o"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ids = ends.groupBy("id").agg(F.sum("up").alias("up"), F.sum("down").alias("down"), F.min("o").alias("m"))
+    # Each u of a star has one v, and no id is a u and a v.
+    got = ids.agg(F.bool_or(F.expr("up > 0 AND up + least(down, 1) > 1")), F.collect_list(F.when(F.col("up") + F.col("down") > limit, F.struct("id", F.least("id", "m").alias("m"))))).first()
+    return not got[0], [tuple(r) for r in got[1]]
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -66,13 +75,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
     pairs = cut(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    while not _are_stars(pairs):
+    while True:
+        done, hubs = _state(pairs)
+        if done:
+            break
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = join_by_count(both, low, "u", "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large = cut(large)
-        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        small = join_by_count(large, low, "u", "n")
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        if hubs:  # their edges aren't shuffled by them
+            is_hub = F.col("u").isin([u for u, _ in hubs])
+            known = F.broadcast(pairs.sparkSession.createDataFrame(hubs, "u long, m long"))
+            near = both.where(is_hub).join(known, "u").unionByName(both.where(~is_hub).join(low, "u"))
+        else:
+            near = both.join(low, "u")
+        large = near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u")
         pairs = cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     roots = pairs.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
