@@ -98,7 +98,7 @@ def test_answers_are_grounded_and_conflicts_found(spark):
     posts = entities.with_entities(_posts(spark, "bootloop: restore boot.img with Magisk", "warning: do not install boot.img from sweet", "cooking tea"))
     index, q = keyword.build(posts), keyword.analyse(spark, [("a", "bootloop restore boot.img"), ("b", "tea V99.1.2"), ("c", "warning tea")])
     specific, found = keyword.specific_terms(index, q), keyword.search(index, q)
-    context = retrieval.context_edges(found, retrieval.all_edges(posts))
+    context = retrieval.context_edges(found, retrieval.edges_of(found, posts, claims.claims(posts)))
     entries = answers.grounding(retrieval.rerank(found, context, retrieval.intents(q, specific)), context, answers.requests(q, specific))
     chain = answers.evidence_chain(entries, context)
     report = {r["query_id"]: r for r in answers.conflict_report(entries, chain).collect()}

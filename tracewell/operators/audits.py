@@ -76,14 +76,14 @@ def route_ratio(wanted: DataFrame, known: DataFrame) -> DataFrame:
     return open_.agg(F.count_if((F.col("declared") > 0) & (F.col("unresolved") == 0)).alias("complete"), F.count("*").alias("total")).withColumn("ratio", F.round(F.col("complete") / F.col("total"), 4))
 
 
-def refresh(receipts: DataFrame, now: str, max_age_hours: float = 168.0) -> DataFrame:
-    """(run_id, age_hours, derived_in_order, status) of receipts(run_id, stage, at): missing_run, needs_refresh or fresh."""
+def refresh(receipts: DataFrame, now: DataFrame, max_age_hours: float = 168.0) -> DataFrame:
+    """(run_id, age_hours, derived_in_order, status) of receipts(run_id, stage, at): missing_run, needs_refresh or fresh. now: one row with the clock."""
     stages = ["crawl", "normalize", "index", "vector", "graph"]
     wide = receipts.groupBy("run_id").pivot("stage", stages).agg(F.max("at"))
     at = {s: F.col(s).cast("timestamp") for s in stages}
-    age = F.round(F.greatest(F.lit(0.0), (F.lit(now).cast("timestamp").cast("double") - at["crawl"].cast("double")) / 3600), 2)
+    age = F.round(F.greatest(F.lit(0.0), (F.col("now").cast("timestamp").cast("double") - at["crawl"].cast("double")) / 3600), 2)
     order = (at["normalize"] >= at["crawl"]) & (at["index"] >= at["normalize"]) & (at["vector"] >= at["normalize"]) & (at["graph"] >= at["normalize"])
-    out = wide.withColumn("age_hours", age).withColumn("derived_in_order", F.coalesce(order, F.lit(False)))
+    out = wide.crossJoin(F.broadcast(now)).withColumn("age_hours", age).withColumn("derived_in_order", F.coalesce(order, F.lit(False)))
     status = F.when(F.col("crawl").isNull(), "missing_run").when((F.col("age_hours") <= max_age_hours) & F.col("derived_in_order"), "fresh").otherwise("needs_refresh")
     return out.select("run_id", "age_hours", "derived_in_order", status.alias("status"))
 

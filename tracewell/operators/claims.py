@@ -139,12 +139,14 @@ def claim_edges(rows: DataFrame) -> DataFrame:
     ]
     none = F.filter(parts[0], lambda x: F.lit(False))
     out = rows.select("claim_id", "source_url", "post_id", F.explode(F.concat(*[F.coalesce(p, none) for p in parts])).alias("x"))
-    return out.select("x.kind", "x.from_node", "x.to_node", "claim_id", "source_url", "post_id", "x.confidence").dropDuplicates(["kind", "from_node", "to_node", "post_id"])
+    return out.select("x.kind", "x.from_node", "x.to_node", "claim_id", "source_url", "post_id", "x.confidence").groupBy("kind", "from_node", "to_node", "post_id").agg(F.min("claim_id").alias("claim_id"), F.min("source_url").alias("source_url"), F.max("confidence").alias("confidence")).select("kind", "from_node", "to_node", "claim_id", "source_url", "post_id", "confidence")
 
 
-def cross_edges(rows: DataFrame) -> DataFrame:
+def cross_edges(rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
     """(kind, from_node, to_node, confidence, manual_review_required, source_urls) between related claims of different posts.
 
+    With a short list of addresses, of(source_url), only edges that name one of them.
+
     Related are claims with a common target or an equal relation key: two equi-joins instead of a comparison of all with all. Only warnings
     and updates are on the side that edges start from.
     """
@@ -154,7 +156,13 @@ def cross_edges(rows: DataFrame) -> DataFrame:
     b = base.select(*[F.col(c).alias("b_" + c) for c in base.columns])
     keyed = lambda d, p: d.select("*", F.explode(F.concat(F.transform(f"{p}_target_labels", lambda t: F.concat(F.lit("t:"), t)), F.array(F.concat(F.lit("k:"), f"{p}_relation_key")))).alias("key"))
     useful = "a_post_id <> b_post_id AND ((a_warns AND NOT b_warns) OR (a_updates AND a_time_key > b_time_key))"
-    pairs = keyed(a, "a").join(keyed(b, "b"), "key").where(useful).drop("key", "a_target_labels", "b_target_labels").dropDuplicates(["a_claim_id", "b_claim_id"])
+    if of is None:
+        pairs = keyed(a, "a").join(keyed(b, "b"), "key")
+    else:
+        near = lambda d, p: F.broadcast(keyed(d, p).join(F.broadcast(of.withColumnRenamed("source_url", f"{p}_source_url")), f"{p}_source_url", "left_semi"))
+        pairs = keyed(b, "b").join(near(a, "a"), "key")
+        pairs = pairs.unionByName(keyed(a, "a").join(near(b, "b"), "key"))
+    pairs = pairs.where(useful).drop("key", "a_target_labels", "b_target_labels").dropDuplicates(["a_claim_id", "b_claim_id"])
     against = F.col("a_warns") & ~F.col("b_warns")
     newer = F.col("a_updates") & (F.col("a_time_key") > F.col("b_time_key"))
     edge = lambda kind, x, y, c, manual: F.struct(F.lit("claim_" + kind + "_claim" if not kind.startswith("deprecated") else "claim_" + kind).alias("kind"), F.col(x).alias("from_node"), F.col(y).alias("to_node"), F.lit(c).alias("confidence"), F.lit(manual).alias("manual_review_required"))

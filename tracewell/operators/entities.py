@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions import rules as R
+from tracewell.operators.stages import once
 
 _TYPE = "array<struct<kind:string,value:string>>"
 
@@ -27,8 +28,14 @@ def _matches(text: Column, kind: str, pattern: str, flags: str, form: str) -> Co
     return F.transform(F.regexp_extract_all(text, F.lit(_flags(flags) + pattern), F.lit(0)), lambda m: _entity(kind, shape(m)))
 
 
-def _words(low: Column, words: list[tuple[str, str, str]]) -> Column:
-    return F.array_compact(F.array(*[F.when(low.rlike(rf"(?U)\b{w}\b"), _entity(k, F.lit(n))) for k, w, n in words]))
+def _spelled(low: Column) -> Column:
+    """Which of the rules' words a text has, in one pass; none of them is the beginning or the end of two others side by side."""
+    any_of = "|".join(sorted({w for _, w, _ in [*R.WORDS, *R.ISSUES]}, key=len, reverse=True))
+    return F.array_distinct(F.regexp_extract_all(low, F.lit(rf"(?U)\b(?:{any_of})\b"), F.lit(0)))
+
+
+def _words(spelled: Column, words: list[tuple[str, str, str]]) -> Column:
+    return F.array_compact(F.array(*[F.when(F.array_contains(spelled, w), _entity(k, F.lit(n))) for k, w, n in words]))
 
 
 def _first(found: Column) -> Column:
@@ -40,18 +47,17 @@ def _files(text: Column) -> Column:
     return F.array_distinct(F.concat(*[F.transform(F.regexp_extract_all(text, F.lit(_flags(f) + p), F.lit(0)), F.lower) for p, f in R.FILES]))
 
 
-def _found(text: Column, files: Column) -> Column:
-    """ARRAY<STRUCT<kind, value>> in the order of the rules, then of place; files are given, for several rules use them."""
-    low = F.lower(text)
-    codenames = F.array_compact(F.array(*[F.when(low.rlike(rf"(?U)\b{w}\b"), w) for k, w, _ in R.WORDS if k == "codename"]))
+def _found(text: Column, low: Column, files: Column, spelled: Column) -> Column:
+    """ARRAY<STRUCT<kind, value>> in the order of the rules, then of place; files and words are given, for several rules use them."""
+    codenames = F.array_compact(F.array(*[F.when(F.array_contains(spelled, w), w) for k, w, _ in R.WORDS if k == "codename"]))
     quoted = lambda f: F.regexp_replace(f, r"([.\-])", r"\\$1")
     seen = lambda *parts: F.regexp_like(low, F.concat(F.lit("(?U)"), *[F.lit(p) if isinstance(p, str) else p for p in parts]))
     value = lambda c: F.transform(c, lambda f: f)
 
     found = [_matches(text, *r) for r in R.PATTERNS]
-    found.append(_words(low, R.WORDS))
+    found.append(_words(spelled, R.WORDS))
     found.append(F.transform(value(files), lambda f: _entity("file", f)))
-    found.append(_words(low, R.ISSUES))
+    found.append(_words(spelled, R.ISSUES))
     fixes = lambda f: F.array_compact(F.array(F.when(seen(R.RESTORE, quoted(f)), _entity("fix", F.concat(F.lit("restore "), f))), F.when(seen(R.FLASH, quoted(f)), _entity("fix", F.concat(F.lit("flash "), f)))))
     found.append(F.flatten(F.transform(files, fixes)))
 
@@ -71,9 +77,11 @@ def _found(text: Column, files: Column) -> Column:
 
 
 def with_entities(posts: DataFrame) -> DataFrame:
-    """Posts with the column entities. Steps are columns of their own, so that none is worked out for each element."""
-    rows = posts.withColumn("_files", _files(F.col("text"))).withColumn("_found", _found(F.col("text"), F.col("_files")))
-    return rows.withColumn("entities", _first(F.col("_found"))).drop("_files", "_found")
+    """Posts with the column entities. Each step is worked out once for a post, whatever reads it; posts without files or words skip the rules for these."""
+    rows = once(posts, "_low", F.lower("text"))
+    rows = once(once(rows, "_files", _files(F.col("text"))), "_spelled", _spelled(F.col("_low")))
+    rows = once(rows, "_found", _found(F.col("text"), F.col("_low"), F.col("_files"), F.col("_spelled")))
+    return once(rows, "entities", _first(F.col("_found"))).drop("_low", "_files", "_spelled", "_found")
 
 
 def mentions(posts: DataFrame) -> DataFrame:

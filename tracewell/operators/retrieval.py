@@ -31,12 +31,17 @@ def intents(analysed: DataFrame, specific: DataFrame) -> DataFrame:
     return q.select("query_id", any_of(ROOT_TERMS).alias("root"), any_of(RECOVERY_TERMS).alias("recovery"), values.alias("values"))
 
 
-def all_edges(posts: DataFrame) -> DataFrame:
-    """(source_url, kind, from_node, to_node, confidence): every relation of posts with entities, once for each address that it names."""
+def edges_of(results: DataFrame, posts: DataFrame, found: DataFrame) -> DataFrame:
+    """(source_url, kind, from_node, to_node, confidence): every relation that names the address of a result, once for each address.
+
+    posts have entities, found are their claims. Of relations between claims only those with a claim of a result are made: the results are
+    the side that is broadcast, so the work grows with the claims and not with their square.
+    """
     columns = ["source_url", "kind", "from_node", "to_node", "confidence"]
-    found = claims.claims(posts)
-    across = claims.cross_edges(found).withColumn("source_url", F.explode("source_urls"))
-    return entities.relations(posts).select(*columns).unionByName(claims.claim_edges(found).select(*columns)).unionByName(across.select(*columns))
+    asked = F.broadcast(results.select("source_url").distinct())
+    across = claims.cross_edges(found, asked).withColumn("source_url", F.explode("source_urls")).join(asked, "source_url", "left_semi")
+    own = entities.relations(posts.join(asked, "source_url", "left_semi")).select(*columns).unionByName(claims.claim_edges(found.join(asked, "source_url", "left_semi")).select(*columns))
+    return own.unionByName(across.select(*columns))
 
 
 def context_edges(results: DataFrame, edges: DataFrame) -> DataFrame:

@@ -3,45 +3,74 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tracewell.functions import text as T
-
 DIMENSIONS = 256
+_SEPARATORS = str.maketrans("", "", "_-.")
 
 
-def _blake(features: DataFrame) -> DataFrame:
-    """(feature, number) by BLAKE2b of 8 bytes, over the distinct features."""
+#: Tokens whose hashed features a worker keeps.
+KEPT = 200_000
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = [int.from_bytes(hashlib.blake2b(f.encode(), digest_size=8).digest(), "big") & 0xFFFFFFFF for f in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], names=["feature", "number"])
 
-    return features.select("feature").distinct().mapInArrow(run, "feature string, number long")
+def _number(feature: str, family: str) -> int:
+    """32 bits of a feature's hash."""
+    raw = feature.encode()
+    return int(hashlib.md5(raw).hexdigest()[:8], 16) if family == "md5" else int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "big") & 0xFFFFFFFF
+
+
+def _token_counts(token: str, dimensions: int, family: str) -> tuple[np.ndarray, np.ndarray]:
+    """Of a token's features: slots, by sort and bucket, and signs."""
+    plain = token.translate(_SEPARATORS)
+    names = [(0, "tok:" + token)]
+    names += [(1, "tri:" + plain[i : i + 3]) for i in range(len(plain) - 2)] if len(plain) >= 5 else []
+    names += [(2, "quad:" + plain[i : i + 4]) for i in range(len(plain) - 3)] if len(plain) >= 7 else []
+    numbers = [_number(n, family) for _, n in names]
+    return np.array([k * dimensions + n % dimensions for (k, _), n in zip(names, numbers)]), np.array([1 if n % 2 else -1 for n in numbers])
 
 
 def vectors(rows: DataFrame, key: str, tokens: str = "tokens", dimensions: int = DIMENSIONS, family: str = "md5") -> DataFrame:
     """(key, bucket, w): the sparse unit vector of each row's tokens, weights rounded to 6 places.
 
-    A feature's bucket and sign come from a hash number's remainder and lowest bit; family is 'md5', in the JVM, or 'blake2b'. Only the lowest 32 bits of the
-    latter are kept, which is the same for dimensions that are powers of two.
+    A feature's bucket and sign come from a hash number's remainder and lowest bit; family is 'md5' or 'blake2b'. Only the lowest 32 bits of the
+    latter are kept, which is the same for dimensions that are powers of two. All features of a row are in it, so nothing is shuffled:
+    an Arrow function sums them, with the hashes of the commonest tokens at hand.
     """
-    counted = rows.select(F.col(key).alias("key"), F.explode(T.features(F.col(tokens))).alias("feature")).groupBy("key", "feature").agg(F.count("*").alias("n"))
-    if family == "md5":
-        counted = counted.withColumn("number", F.conv(F.substring(F.md5("feature"), 1, 8), 16, 10).cast("long"))
-    else:
-        counted = counted.join(_blake(counted), "feature")
-    weight = F.when(F.col("feature").startswith("tok:"), 1.0).when(F.col("feature").startswith("quad:"), 0.45).otherwise(0.3)
-    signed = weight * F.col("n") * F.when(F.col("number") % 2 == 1, 1.0).otherwise(-1.0)
-    buckets = counted.groupBy("key", (F.col("number") % dimensions).cast("int").alias("bucket")).agg(F.sum(signed).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("key")))
-    return buckets.select("key", "bucket", F.round(F.col("w") / F.when(norm > 0, norm).otherwise(1.0), 6).alias("w")).where("w <> 0")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                place, bucket, weight = [], [], []
+                for i, toks in enumerate(part.column(1).to_pylist()):
+                    found = []
+                    for t, n in Counter(toks or ()).items():
+                        if (got := hashed.get(t)) is None:
+                            got = _token_counts(t, dimensions, family)
+                            if len(hashed) < KEPT:
+                                hashed[t] = got
+                        found.append((got[0], got[1] * n))
+                    if found:
+                        sums = np.bincount(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), 3 * dimensions).reshape(3, dimensions)
+                        w = sums[0] + 0.3 * sums[1] + 0.45 * sums[2]
+                        used = np.flatnonzero(w)
+                        place += [i] * len(used)
+                        bucket.append(used)
+                        weight.append(w[used] / (np.sqrt((w * w).sum()) or 1.0))
+                taken = part.column(0).take(pa.array(place, pa.int64()))
+                yield pa.RecordBatch.from_arrays([taken, pa.array(np.concatenate([*bucket, np.zeros(0)]).astype(np.int32)), pa.array(np.concatenate([*weight, np.zeros(0)]))], names=["key", "bucket", "w"])
+
+    kind = rows.schema[key].dataType.simpleString()
+    found = rows.select(F.col(key).alias("key"), F.col(tokens)).mapInArrow(run, f"key {kind}, bucket int, w double")
+    return found.withColumn("w", F.round("w", 6)).where("w <> 0")
 
 
 def search(stored: DataFrame, docs: DataFrame, analysed: DataFrame, k: int = 5, **hashing) -> DataFrame:

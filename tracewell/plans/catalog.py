@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tracewell.functions import rules as R
 from tracewell.functions import text as T
 from tracewell.operators import answers, audits, claims, corpus, entities, keyword, policy, retrieval, vectors
+from tracewell.operators.stages import stored
 from tracewell.sources import pages as sources
 
 #: Queries of the catalogue's searches, and its clock.
@@ -95,7 +96,7 @@ def vector_search(spark, sf_dir, k: int = 10):
 
 def hybrid_search(spark, sf_dir, k: int = 10):
     index, q = _index(spark, sf_dir), keyword.analyse(spark, ASKED)
-    arm = max(4 * k, 80)
+    arm = max(4 * k, 80)  # candidates of each arm
     both = vectors.hybrid(keyword.search(index, q, arm), vectors.search(vectors.vectors(index.docs, "key"), index.docs, q, arm), k)
     return both.select("query_id", "rank", "key", "score", "keyword_rank", "vector_rank")
 
@@ -130,7 +131,7 @@ def graph_edges(spark, sf_dir):
 
 
 def _claims(spark, sf_dir):
-    return claims.claims(entities.with_entities(_posts(spark, sf_dir)))
+    return stored(claims.claims(entities.with_entities(_posts(spark, sf_dir))))
 
 
 def claim_rows(spark, sf_dir):
@@ -158,22 +159,24 @@ def claim_stats(spark, sf_dir):
     return claims.claim_stats(rows, edges)
 
 
-def graph_search(spark, sf_dir, k: int = 10):
-    posts = entities.with_entities(_posts(spark, sf_dir))
+def _ranked(spark, sf_dir, k: int = 10):
+    """Reranked results of the catalogue's queries, their context, and what was asked."""
+    posts = stored(entities.with_entities(_posts(spark, sf_dir)))
     index, q = keyword.build(posts), keyword.analyse(spark, ASKED)
-    found = keyword.search(index, q, k)
-    wanted = retrieval.intents(q, keyword.specific_terms(index, q))
-    out = retrieval.rerank(found, retrieval.context_edges(found, retrieval.all_edges(posts)), wanted)
-    return out.select("query_id", "graph_rank", "rank", "key", "score", "matching_edge_count", "matching_kinds", "matching_confidence", "graph_raw")
+    specific = stored(keyword.specific_terms(index, q))
+    found = stored(keyword.search(index, q, k))
+    edges = retrieval.edges_of(found, posts, stored(claims.claims(posts)))
+    context = stored(retrieval.context_edges(found, edges))
+    return retrieval.rerank(found, context, retrieval.intents(q, specific)), context, answers.requests(q, specific)
+
+
+def graph_search(spark, sf_dir, k: int = 10):
+    return _ranked(spark, sf_dir, k)[0].select("query_id", "graph_rank", "rank", "key", "score", "matching_edge_count", "matching_kinds", "matching_confidence", "graph_raw")
 
 
 def _entries(spark, sf_dir, k: int = 10):
-    posts = entities.with_entities(_posts(spark, sf_dir))
-    index, q = keyword.build(posts), keyword.analyse(spark, ASKED)
-    specific = keyword.specific_terms(index, q)
-    found = keyword.search(index, q, k)
-    context = retrieval.context_edges(found, retrieval.all_edges(posts))
-    return answers.grounding(retrieval.rerank(found, context, retrieval.intents(q, specific)), context, answers.requests(q, specific)), context
+    ranked, context, asked = _ranked(spark, sf_dir, k)
+    return stored(answers.grounding(ranked, context, asked)), context
 
 
 def grounding(spark, sf_dir):
@@ -275,8 +278,8 @@ def _receipts(spark, sf_dir):
 
 
 def refresh_audit(spark, sf_dir):
-    now = _receipts(spark, sf_dir).agg(F.max("at")).first()[0]
-    return audits.refresh(_receipts(spark, sf_dir), str(now), 168.0)
+    receipts = _receipts(spark, sf_dir)
+    return audits.refresh(receipts, receipts.agg(F.max("at").alias("now")), 168.0)
 
 
 def latest_receipts(spark, sf_dir):
