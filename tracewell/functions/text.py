@@ -19,20 +19,33 @@ def _all(c: Column, pattern: str) -> Column:
     return F.regexp_extract_all(c, F.lit("(?U)" + pattern), F.lit(0))
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def aliases(c: Column) -> Column:
-    """Further names of what a text mentions: image files, versions, model numbers, builds and code names."""
-    low = F.lower(c)
-    images = [F.when(low.rlike(rf"(?U)\b{s.replace('_', r'[\s_-]+')}[\s._-]+img\b"), f"{s}.img") for s in IMAGE_STEMS]
-    versions = F.transform(_all(low, VERSION), lambda m: F.concat(F.lit("v"), F.array_join(F.regexp_extract_all(m, F.lit(r"\d+"), F.lit(0)), ".")))
-    pair = lambda pattern, by: F.transform(_all(low, pattern), lambda m: F.concat(F.regexp_extract(m, "(?U)" + pattern, 1), F.lit(by), F.regexp_extract(m, "(?U)" + pattern, 2)))
-    names = [F.when(c.rlike("(?iU)" + p), name) for p, name in DEVICES]
-    return F.array_distinct(F.array_compact(F.concat(F.array(*images), versions, pair(MODEL, "-"), pair(BUILD, ""), F.array(*names))))
+    """Further names of what a text mentions: image files, versions, model numbers, builds and code names.
+
+    Rules that need a digit or a word aren't tried on texts without it.
+    """
+
+    def found(low: Column) -> Column:
+        numbered, none = low.rlike(r"\p{Nd}"), F.array().cast("array<string>")
+        images = [F.when(low.contains("img") & low.rlike(rf"(?U)\b{s.replace('_', r'[\s_-]+')}[\s._-]+img\b"), f"{s}.img") for s in IMAGE_STEMS]
+        versions = F.transform(_all(low, VERSION), lambda m: F.concat(F.lit("v"), F.array_join(F.regexp_extract_all(m, F.lit(r"\d+"), F.lit(0)), ".")))
+        pair = lambda pattern, by: F.transform(_all(low, pattern), lambda m: F.concat(F.regexp_extract(m, "(?U)" + pattern, 1), F.lit(by), F.regexp_extract(m, "(?U)" + pattern, 2)))
+        names = [F.when(numbered & c.rlike("(?iU)" + p), name) for p, name in DEVICES]
+        with_numbers = F.when(numbered, F.concat(versions, pair(MODEL, "-"), pair(BUILD, ""))).otherwise(none)
+        return F.array_distinct(F.array_compact(F.concat(F.array(*images), with_numbers, F.array(*names))))
+
+    return let(F.lower(c), found)
 
 
 def tokens(c: Column) -> Column:
     """Words of two characters or more in lower case, repeated ones kept, then the aliases that aren't among them."""
     words = F.transform(F.filter(F.regexp_extract_all(c, F.lit(TOKEN), F.lit(0)), lambda x: F.length(x) > 1), F.lower)
-    return F.concat(words, F.array_except(aliases(c), words))
+    return let(words, lambda w: F.concat(w, F.array_except(aliases(c), w)))
 
 
 def is_exact(c: Column) -> Column:

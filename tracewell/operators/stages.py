@@ -22,3 +22,9 @@ def stored(df: DataFrame) -> DataFrame:
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """A column that is worked out once for each row: the optimizer copies columns into the expressions that use them, but not what a generator gives."""
     return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table with fewer parts than the session has cores, dealt out to all of them; larger tables stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

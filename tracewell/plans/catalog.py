@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tracewell.functions import rules as R
 from tracewell.functions import text as T
 from tracewell.operators import answers, audits, claims, corpus, entities, keyword, policy, retrieval, vectors
-from tracewell.operators.stages import stored
+from tracewell.operators.stages import once, spread, stored
 from tracewell.sources import pages as sources
 
 #: Queries of the catalogue's searches, and its clock.
@@ -31,7 +31,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _posts(spark: SparkSession, sf_dir: str, decorated: bool = True) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = spread(_table(spark, sf_dir, "documents"))
     return corpus.posts_from_documents(corpus.decorate(docs) if decorated else docs)
 
 
@@ -44,7 +44,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_counts(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents").select("doc_id", T.tokens(F.coalesce("text", F.lit(""))).alias("t"), T.aliases(F.coalesce("text", F.lit(""))).alias("a"))
+    text = F.coalesce("text", F.lit(""))
+    docs = once(spread(_table(spark, sf_dir, "documents")).select("doc_id", T.aliases(text).alias("a"), text.alias("text")), "t", T.tokens(F.col("text")))
     return docs.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.size(T.exact_terms(F.col("t"))).cast("long").alias("n_exact"), F.size("a").cast("long").alias("n_aliases"))
 
 
