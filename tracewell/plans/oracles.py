@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tracewell.functions import text as T
 from tracewell.operators.corpus import DECORATIONS
+from tracewell.plans import claim_oracles
 
 
 def _q(s: str) -> str:
@@ -58,7 +59,7 @@ corpus AS (SELECT count(*) AS n, avg(greatest(1, len(t))) AS avg_len FROM d)"""
     values = ", ".join(f"({_q(i)}, {_q(q)})" for i, q in asked)
     asked_sql = f"""q0(query_id, query) AS (VALUES {values}),
 q1 AS (SELECT query_id, query, {_words('query')} AS w, {_aliases('query').removeprefix('list_distinct(').removesuffix(')')} AS r FROM q0),
-q AS (SELECT query_id, query, w || list_filter(list_filter(r, lambda x, i: list_position(r, x) = i), lambda x: NOT list_contains(w, x)) AS t FROM q1),
+q AS (SELECT query_id, query, w || list_filter(list_filter(r, lambda x, i: list_position(r, x) = i), lambda x: NOT list_contains(w, x)) AS t, list_distinct(r) AS r FROM q1),
 qt AS (SELECT query_id, unnest(t) AS term, generate_subscripts(t, 1) - 1 AS pos FROM q),
 qe AS (SELECT query_id, term, rank() OVER (PARTITION BY query_id ORDER BY min(pos)) - 1 AS pos FROM qt WHERE {is_exact} GROUP BY query_id, term),
 grams AS (SELECT query_id, n, i, array_to_string(t[i : i + n - 1], ' ') AS phrase FROM q, range(2, 6) AS a(n), range(1, 60) AS b(i) WHERE i + n - 1 <= len(t)),
@@ -73,7 +74,7 @@ hits AS (
  FROM qt JOIN terms USING (term) JOIN postings p USING (term) JOIN d USING (key), corpus
  UNION ALL SELECT query_id, key, p.doc_id, 0, 1.75, 0, NULL, p.term, NULL, (1, pos, p.doc_id) FROM qe JOIN postings p USING (term)
  UNION ALL SELECT query_id, key, doc_id, 0, 0, 2.5, NULL, NULL, phrase, (2, pos, doc_id) FROM qp JOIN d ON contains(array_to_string(d.t, ' '), phrase)),
-summed AS (SELECT query_id, key, sum(bm25) AS bm25, sum(exact) AS exact, sum(phrase) AS phrase, list_filter(list_distinct(list(mt)), lambda x: x IS NOT NULL) AS mt, list_filter(list_distinct(list(me)), lambda x: x IS NOT NULL) AS me, count(DISTINCT mp) AS mp, min(touch) AS touch FROM hits GROUP BY query_id, key),
+summed AS (SELECT query_id, key, sum(bm25) AS bm25, sum(exact) AS exact, sum(phrase) AS phrase, list_filter(list_distinct(list(mt)), lambda x: x IS NOT NULL) AS mt, list_filter(list_distinct(list(me)), lambda x: x IS NOT NULL) AS me, count(DISTINCT mp) AS mp, list_filter(list_distinct(list(mp)), lambda x: x IS NOT NULL) AS mpl, min(touch) AS touch FROM hits GROUP BY query_id, key),
 sets AS (SELECT query_id, list(term) AS s, list(term) FILTER (structured) AS st FROM sp GROUP BY query_id),
 full_ AS (SELECT summed.*, round(bm25 + exact + phrase, 9) AS total, coalesce(list_intersect(me, st), []) AS ms, coalesce(list_intersect(list_distinct(mt || me), s), []) AS mx FROM summed LEFT JOIN sets USING (query_id)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY len(ms) DESC, total DESC, len(mx) DESC, len(me) DESC, mp DESC, touch) AS rank FROM full_)"""
@@ -102,12 +103,14 @@ s AS (SELECT *, round(0.65 * coalesce(kr / nullif(max(kr) OVER w, 0), 0) + 0.35
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, coalesce(keyword_rank, 999999), coalesce(vector_rank, 999999), kr DESC, vs DESC, key) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, key, score, CAST(keyword_rank AS INTEGER) AS keyword_rank, CAST(vector_rank AS INTEGER) AS vector_rank FROM r WHERE rank <= 10"""
 
-    out |= _entity_sql(rules)
+    found, entity_base, relations = _entity_sql(rules)
+    out |= found
+    out |= claim_oracles.build(entity_base, relations, f"{base}, {asked_sql}, {scored}", rules)
     out |= _page_sql()
     return out
 
 
-def _entity_sql(R) -> dict[str, str]:
+def _entity_sql(R) -> tuple[dict[str, str], str, str]:
     rows = []
     for n, (kind, p, flags, form) in enumerate(R.PATTERNS):
         shape = {"keep": "trim(regexp_replace(m, '\\s+', ' ', 'g'))", "upper": "upper(m)"}[form]
@@ -137,7 +140,7 @@ e AS (SELECT key, kind, first(value ORDER BY rule, i) AS value FROM e1 WHERE val
     for kind, source, targets, need, confidence in R.RELATIONS:
         ok = " AND contains(lower(a.value), lower(b.value))" if need == "in" else f" AND b.value IN ({', '.join(map(_q, need))})" if need else ""
         pairs.append(f"SELECT '{kind}' AS kind, 'entity:' || a.kind || ':' || a.value AS from_node, 'entity:' || b.kind || ':' || b.value AS to_node, a.key AS post_id, {confidence}::DOUBLE AS confidence FROM e a JOIN e b USING (key) WHERE a.kind = '{source}' AND b.kind IN ({', '.join(map(_q, targets))}){ok}")
-    return {
+    found = {
         "entity_mentions": f"WITH {base} SELECT kind, value, count(*) AS posts, min(key) AS first_post FROM e GROUP BY kind, value",
         "relation_edges": f"WITH {base} SELECT DISTINCT from_node || '->' || to_node || ':' || kind || ':post:' || post_id AS edge_id, * FROM ({' UNION ALL '.join(pairs)})",
         "graph_nodes": f"""WITH {base} SELECT 'topic:' || topic_id AS node_id, 'topic' AS kind, max(title) AS label, 0::BIGINT AS refs, 1.0::DOUBLE AS confidence FROM d GROUP BY topic_id
@@ -145,6 +148,7 @@ UNION ALL SELECT 'post:' || key, 'post', 'Post ' || key, 1, 1.0 FROM d UNION ALL
         "graph_edges": f"""WITH {base} SELECT 'topic_contains_post' AS kind, 1.0::DOUBLE AS confidence, count(*) AS edges, count(DISTINCT topic_id || '>' || key) AS distinct_edges FROM d
 UNION ALL SELECT 'post_mentions_entity', 0.6, count(*), count(DISTINCT key || '>' || kind || '>' || value) FROM e""",
     }
+    return found, base, ' UNION ALL '.join(pairs)
 
 
 def _page_sql() -> dict[str, str]:
