@@ -100,7 +100,7 @@ def test_answers_are_grounded_and_conflicts_found(spark):
     specific, found = keyword.specific_terms(index, q), keyword.search(index, q)
     context = retrieval.context_edges(found, retrieval.edges_of(found, posts, claims.claims(posts)))
     entries = answers.grounding(retrieval.rerank(found, context, retrieval.intents(q, specific)), context, answers.requests(q, specific))
-    chain = answers.evidence_chain(entries, context)
+    chain = answers.evidence_chain(entries, context, claims.freshness_windows(claims.claims(posts)))
     report = {r["query_id"]: r for r in answers.conflict_report(entries, chain).collect()}
     assert report["a"]["answer_status"] == "answered" and report["a"]["conflict_status"] == "conflict_detected"
     assert report["b"]["answer_status"] == "insufficient_evidence" and report["b"]["gap_reason"] == "unmatched_structured_query_terms"

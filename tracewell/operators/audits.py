@@ -47,6 +47,63 @@ def stale_decisions(decisions: DataFrame, found: DataFrame, seeds: DataFrame) ->
     return decisions.join(found.select("url"), "url", "left_anti").join(seeds.select(canonical(F.col("url")).alias("url")), "url", "left_anti")
 
 
+def review_summary(reviewed: DataFrame, stale: DataFrame, seeds: DataFrame, has_manifest: bool = True, has_run: bool = True) -> DataFrame:
+    """One row: candidates by decision, accepted ones that are seeds and that aren't, stale decisions, and the state of the review."""
+    seeded = seeds.select(canonical(F.col("url")).alias("url")).distinct().withColumn("is_seed", F.lit(True))
+    rows = reviewed.join(F.broadcast(seeded), "url", "left")
+    accepted = F.col("decision") == "accept"
+    one = rows.agg(
+        F.count("*").alias("candidate_count"), F.count_if(F.col("decision") == "unreviewed").alias("unreviewed_count"), F.count_if(accepted & F.col("is_seed").isNotNull()).alias("accepted_seeded_count"), F.count_if(accepted & F.col("is_seed").isNull()).alias("accepted_missing_from_seed_count"), F.count_if(F.col("decision") == "reject").alias("rejected_count"),
+    ).crossJoin(stale.agg(F.count("*").alias("stale_decision_count")))
+    state = F.when(~F.lit(has_run), "missing_run").when(~F.lit(has_manifest), "missing_review").when(F.col("unreviewed_count") > 0, "needs_review").when(F.col("accepted_missing_from_seed_count") > 0, "reviewed_pending_seed_update").otherwise("reviewed")
+    return one.withColumn("status", state)
+
+
+def link_counts(links: DataFrame, policy: Policy = Policy()) -> DataFrame:
+    """(verdict, links, addresses): how many links the policy lets through and how many it denies."""
+    verdict = F.when(allowed(F.col("url"), policy), "allowed").otherwise("denied")
+    return links.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("links"), F.countDistinct("url").alias("addresses"))
+
+
+def review_order(found: DataFrame, limit: int) -> DataFrame:
+    """The first candidates to review, with their place: by priority, unseeded topics first, then by how often they are linked."""
+    rank = F.when(F.col("review_priority") == "high", 0).when(F.col("review_priority") == "medium", 1).otherwise(2)
+    first = found.orderBy(rank, (F.col("candidate_kind") == "seed_topic_new_window").cast("int"), F.col("source_count").desc(), "topic_id", "page_start", "url").limit(limit)
+    return first.withColumn("place", F.row_number().over(W.orderBy(rank, (F.col("candidate_kind") == "seed_topic_new_window").cast("int"), F.col("source_count").desc(), "topic_id", "page_start", "url")))
+
+
+def coverage_summary(seeds: DataFrame, plan: DataFrame, fetched: DataFrame) -> DataFrame:
+    """One row: pages, seeds and focus areas that are expected, there and missing, and the status no_run, partial or coverage_ready."""
+    got = fetched.select("seed_id", "page_start").distinct()
+    there = got.select("seed_id").distinct().withColumn("there", F.lit(1))
+    pages = plan.select("seed_id", "page_start").distinct().join(got.withColumn("there", F.lit(1)), ["seed_id", "page_start"], "left").agg(F.count("*").alias("expected_pages"), F.count("there").alias("fetched_pages"))
+    own = plan.select("seed_id").distinct().join(seeds.select("seed_id", "focus"), "seed_id").join(there, "seed_id", "left")
+    counts = own.agg(F.count("*").alias("expected_seeds"), F.count("there").alias("fetched_seeds"), F.countDistinct("focus").alias("expected_focus"), F.countDistinct(F.when(F.col("there") == 1, F.col("focus"))).alias("captured_focus"))
+    out = pages.crossJoin(counts).crossJoin(got.agg(F.count("*").alias("_any")))
+    status = F.when(F.col("_any") == 0, "no_run").when((F.col("expected_pages") > 0) & (F.col("expected_pages") == F.col("fetched_pages")) & (F.col("expected_focus") == F.col("captured_focus")), "coverage_ready").otherwise("partial")
+    ratio = F.when(F.col("expected_pages") > 0, F.round(F.col("fetched_pages") / F.col("expected_pages"), 4)).otherwise(0.0)
+    return out.withColumn("page_ratio", ratio).withColumn("status", status).drop("_any")
+
+
+def refresh_checks(receipts: DataFrame, now: DataFrame, max_age_hours: float = 168.0) -> DataFrame:
+    """(run_id, check, ok): what a run needs to count as fresh, from receipts(run_id, stage, at, errors, network_touched)."""
+    stages = ["crawl", "normalize", "index", "vector", "graph"]
+    at = {s: F.max(F.when(F.col("stage") == s, F.col("at"))) for s in stages}
+    derived = F.col("stage").isin(stages[1:])
+    wide = receipts.groupBy("run_id").agg(*[c.alias(s) for s, c in at.items()], F.max(F.when(F.col("stage") == "crawl", F.col("errors"))).alias("errors"), F.bool_or(F.when(derived, F.col("network_touched"))).alias("touched")).crossJoin(F.broadcast(now))
+    age = (F.col("now").cast("timestamp").cast("double") - F.col("crawl").cast("double")) / 3600
+    checks = {
+        "receipt_chain_present": F.forall(F.array(*stages), lambda x: x.isNotNull()),
+        "crawl_age_within_limit": F.round(F.greatest(F.lit(0.0), age), 2) <= max_age_hours,
+        "crawl_errors_zero": F.col("errors") == 0,
+        "derived_stages_network_free": F.forall(F.array(*stages[1:]), lambda x: x.isNotNull()) & ~F.col("touched"),
+        "derived_timestamps_present": F.forall(F.array(*stages[1:]), lambda x: x.isNotNull()),
+        "derived_not_older_than_crawl": (F.col("normalize") >= F.col("crawl")) & (F.col("index") >= F.col("normalize")) & (F.col("vector") >= F.col("normalize")) & (F.col("graph") >= F.col("normalize")),
+    }
+    one = F.array(*[F.struct(F.lit(n).alias("check"), F.coalesce(c, F.lit(False)).alias("ok")) for n, c in checks.items()])
+    return wide.select("run_id", F.explode(one).alias("x")).select("run_id", "x.check", "x.ok")
+
+
 def missing_pages(plan: DataFrame, fetched: DataFrame) -> DataFrame:
     """Planned (seed_id, page_start) that weren't fetched."""
     return plan.join(fetched.select("seed_id", "page_start").distinct(), ["seed_id", "page_start"], "left_anti")

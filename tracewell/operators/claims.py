@@ -142,6 +142,36 @@ def claim_edges(rows: DataFrame) -> DataFrame:
     return out.select("x.kind", "x.from_node", "x.to_node", "claim_id", "source_url", "post_id", "x.confidence").groupBy("kind", "from_node", "to_node", "post_id").agg(F.min("claim_id").alias("claim_id"), F.min("source_url").alias("source_url"), F.max("confidence").alias("confidence")).select("kind", "from_node", "to_node", "claim_id", "source_url", "post_id", "confidence")
 
 
+def claim_nodes(rows: DataFrame) -> DataFrame:
+    """(node_id, kind, label, source_refs, confidence): claims, and the methods, actions, targets, tools, conditions, contexts, risks and warnings that they name.
+
+    Of several labels of one node the first in the alphabet counts.
+    """
+    name = lambda prefix: lambda x: F.concat(F.lit(prefix + ":"), slug(x))
+    node = lambda i, kind, label, c: F.struct(i.alias("node_id"), F.lit(kind).alias("kind"), label.alias("label"), F.lit(c).cast("double").alias("confidence"))
+    many = lambda c, kind, prefix, confidence: F.transform(c, lambda x: node(name(prefix)(x), kind, x, confidence))
+    warning = lambda x: F.concat(F.lit("warning:"), F.substring(slug(x), 1, 60), F.lit(":"), F.substring(F.sha2(x, 256), 1, 12))
+    parts = [
+        F.array(node(F.col("claim_id"), "claim", F.col("label"), 0.0), node(F.col("method_id"), "method", F.concat_ws(" ", "method_kind", "action"), 0.65), node(name("action")(F.col("action")), "action", F.col("action"), 0.65)),
+        many("target_labels", "target", "target", 0.65),
+        many("tool_labels", "tool", "tool", 0.65),
+        many("condition_labels", "condition", "condition", 0.6),
+        many("applicability_context", "applicability_context", "context", 0.6),
+        many("risk_labels", "risk", "risk", 0.6),
+        F.transform("warning_labels", lambda x: node(warning(x), "warning", x, 0.65)),
+    ]
+    found = rows.select("source_url", "confidence", F.explode(F.concat(*parts)).alias("x"))
+    found = found.select("x.node_id", "x.kind", "x.label", "source_url", F.when(F.col("x.kind") == "claim", F.col("confidence")).otherwise(F.col("x.confidence")).alias("confidence"))
+    return found.groupBy("node_id").agg(F.min("kind").alias("kind"), F.min("label").alias("label"), F.array_sort(F.collect_set("source_url")).alias("source_refs"), F.max("confidence").alias("confidence"))
+
+
+def merged_nodes(graph: DataFrame, claimed: DataFrame) -> DataFrame:
+    """Nodes of the graph and of claims; where both have one, the graph's fields count and the references of both are joined."""
+    both = graph.withColumn("o", F.lit(0)).unionByName(claimed.withColumn("o", F.lit(1)))
+    merged = both.groupBy("node_id").agg(F.min_by(F.struct("kind", "label", "confidence"), "o").alias("f"), F.array_sort(F.collect_list(F.struct("o", "source_refs"))).alias("r"))
+    return merged.select("node_id", "f.kind", "f.label", F.array_distinct(F.flatten(F.transform("r", lambda x: x["source_refs"]))).alias("source_refs"), "f.confidence")
+
+
 def cross_edges(rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
     """(kind, from_node, to_node, confidence, manual_review_required, source_urls) between related claims of different posts.
 

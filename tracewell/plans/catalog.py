@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import rules as R
 from tracewell.functions import text as T
-from tracewell.operators import answers, audits, claims, corpus, entities, keyword, policy, retrieval, vectors
+from tracewell.operators import answers, audits, claims, corpus, entities, keyword, policy, registry, retrieval, vectors
 from tracewell.operators.stages import once, spread, stored
 from tracewell.sources import pages as sources
+from tracewell.sources import posts
 
 #: Queries of the catalogue's searches, and its clock.
 ASKED = [
@@ -161,23 +163,38 @@ def claim_stats(spark, sf_dir):
 
 
 def _ranked(spark, sf_dir, k: int = 10):
-    """Reranked results of the catalogue's queries, their context, and what was asked."""
+    """Reranked results of the catalogue's queries, their context, what was asked, and all claims."""
     posts = stored(entities.with_entities(_posts(spark, sf_dir)))
     index, q = keyword.build(posts), keyword.analyse(spark, ASKED)
     specific = stored(keyword.specific_terms(index, q))
     found = stored(keyword.search(index, q, k))
-    edges = retrieval.edges_of(found, posts, stored(claims.claims(posts)))
-    context = stored(retrieval.context_edges(found, edges))
-    return retrieval.rerank(found, context, retrieval.intents(q, specific)), context, answers.requests(q, specific)
+    rows = stored(claims.claims(posts))
+    context = stored(retrieval.context_edges(found, retrieval.edges_of(found, posts, rows)))
+    return retrieval.rerank(found, context, retrieval.intents(q, specific)), context, answers.requests(q, specific).join(q.select("query_id", "query"), "query_id"), rows
 
 
 def graph_search(spark, sf_dir, k: int = 10):
     return _ranked(spark, sf_dir, k)[0].select("query_id", "graph_rank", "rank", "key", "score", "matching_edge_count", "matching_kinds", "matching_confidence", "graph_raw")
 
 
+def graph_hybrid_search(spark, sf_dir, k: int = 10):
+    posts = stored(entities.with_entities(_posts(spark, sf_dir)))
+    index, q, arm = keyword.build(posts), keyword.analyse(spark, ASKED), max(4 * k, 80)
+    found = stored(keyword.search(index, q, arm))
+    context = stored(retrieval.context_edges(found, retrieval.edges_of(found, posts, stored(claims.claims(posts)))))
+    ranked = retrieval.rerank(found, context, retrieval.intents(q, keyword.specific_terms(index, q))).drop("rank").withColumnRenamed("graph_rank", "rank")
+    both = vectors.hybrid(ranked, vectors.search(vectors.vectors(index.docs, "key"), index.docs, q, arm), k, "graph_raw")
+    return both.select("query_id", "rank", "key", "score", "keyword_rank", "vector_rank", "graph_normalized")
+
+
 def _entries(spark, sf_dir, k: int = 10):
-    ranked, context, asked = _ranked(spark, sf_dir, k)
-    return stored(answers.grounding(ranked, context, asked)), context
+    ranked, context, asked, rows = _ranked(spark, sf_dir, k)
+    return stored(answers.grounding(ranked, context, asked)), context, asked, rows
+
+
+def _chain(spark, sf_dir):
+    entries, context, asked, rows = _entries(spark, sf_dir)
+    return entries, stored(answers.answer_texts(answers.evidence_chain(entries, context, claims.freshness_windows(rows)))), context, asked
 
 
 def grounding(spark, sf_dir):
@@ -185,12 +202,79 @@ def grounding(spark, sf_dir):
 
 
 def evidence_chain(spark, sf_dir):
-    return answers.evidence_chain(*_entries(spark, sf_dir)).select("query_id", "step", "post_id", "role", "answer_kind", F.array_join("relation_kinds", "|").alias("relation_kinds"))
+    return _chain(spark, sf_dir)[1].select("query_id", "step", "post_id", "role", "answer_kind", F.array_join("relation_kinds", "|").alias("relation_kinds"))
+
+
+def answer_labels(spark, sf_dir):
+    joined = lambda c: F.array_join(c, "|").alias(c)
+    names = ["issue_labels", "fix_labels", "warning_labels", "warned_target_labels", "root_action_labels", "recovery_action_labels", "target_file_labels", "tool_labels", "firmware_context_labels", "claim_ids", "claim_context_labels", "claim_condition_labels", "windows"]
+    return _chain(spark, sf_dir)[1].select("query_id", "step", "post_id", "answer_text", "min_confidence", *map(joined, names))
 
 
 def conflict_report(spark, sf_dir):
-    entries, context = _entries(spark, sf_dir)
-    return answers.conflict_report(entries, answers.evidence_chain(entries, context))
+    entries, chain, _, _ = _chain(spark, sf_dir)
+    return answers.conflict_report(entries, chain)
+
+
+def conflict_claims(spark, sf_dir):
+    _, chain, context, _ = _chain(spark, sf_dir)
+    return answers.conflict_claims(chain, context).groupBy("query_id", "role").agg(F.count("*").alias("claims"), F.min("claim_id").alias("first_claim"))
+
+
+def answer_reports(spark, sf_dir):
+    entries, chain, context, asked = _chain(spark, sf_dir)
+    joined = lambda c: F.array_join(c, "|").alias(c)
+    out = answers.reports(entries, chain, context, asked)
+    return out.select("query_id", "chain_step_count", "topic_count", "source_count", "filtered_count", "deduplicated_count", "freshness_state", "applicability_status", "warning_requested", "warning_supported", "risk_status", "warning_relation_count", "confidence", "latest_captured_at", *map(joined, ["answer_kinds", "relation_kinds", "profile_windows", "context_labels", "condition_labels", "warning_labels", "warning_target_labels"]))
+
+
+def answer_briefs(spark, sf_dir):
+    entries, chain, context, asked = _chain(spark, sf_dir)
+    return answers.briefs(answers.reports(entries, chain, context, asked), chain)
+
+
+def claim_nodes(spark, sf_dir):
+    return claims.claim_nodes(_claims(spark, sf_dir)).select("node_id", "kind", "label", F.size("source_refs").cast("long").alias("refs"), "confidence")
+
+
+def merged_nodes(spark, sf_dir):
+    posts = stored(entities.with_entities(_posts(spark, sf_dir)))
+    both = claims.merged_nodes(entities.graph_nodes(posts), claims.claim_nodes(claims.claims(posts)))
+    return both.groupBy("kind").agg(F.count("*").alias("nodes"), F.sum(F.size("source_refs")).alias("refs"), F.round(F.sum("confidence"), 4).alias("confidence"))
+
+
+#: Pages in the four layouts, made of documents: a number, a name, a time and the text of each.
+def _laid_out(spark, sf_dir):
+    docs = spread(_table(spark, sf_dir, "documents")).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("source", F.lit("")).alias("source"))
+    body = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    shapes = {
+        0: '<html><body><h1>{s}</h1><table class="t" data-post="{i}"><tr><td id="ph-{i}-d1"><div id="post-member-{i}"><span class="normalname"><a href="/u">by {s}</a></span></div></td><td id="ph-{i}-d2"><div>no</div><img src="x"> 01.02.21, 10:30<span id="kh-{i}"></span></td></tr><tr><td class="post2" id="post-main-{i}"><div>{t}<div class="post-block quote">old words</div><span class="edit">edited</span></div></td></tr><tr id="pb-{i}-r3"><td>foot</td></tr></table></body></html>',
+        1: '<html><body><div class="x post_body y" id="post-main-{i}">{t}<script>var a;</script></div></div></body></html>',
+        2: "<html><body><article class='c' id='post-{i}'>{t}</article><p>none</p></body></html>",
+        3: '<html><body><p id="post-main-{i}">{t}</p><div class="signature">me</div></body></html>',
+    }
+    values = {"i": F.col("doc_id").cast("string"), "s": F.col("source"), "t": body}
+
+    def filled(shape: str):
+        parts = re.split(r"\{([ist])\}", shape)
+        return F.concat(*[values[p] if n % 2 else F.lit(p) for n, p in enumerate(parts)])
+
+    html = F.when(F.col("doc_id") % 4 == 0, filled(shapes[0])).when(F.col("doc_id") % 4 == 1, filled(shapes[1])).when(F.col("doc_id") % 4 == 2, filled(shapes[2])).otherwise(filled(shapes[3]))
+    return docs.select(F.col("doc_id").alias("page_id"), html.alias("html"))
+
+
+def page_posts(spark, sf_dir):
+    return posts.page_posts(_laid_out(spark, sf_dir))
+
+
+def decoded_pages(spark, sf_dir):
+    """Every other text as bytes of windows-1251 where that can hold it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Прошивка "), F.coalesce("text", F.lit(""))).alias("text"))
+    latin = F.regexp_replace("text", "[^\\x00-\\x7Fа-яА-ЯёЁ]", "?")
+    cyrillic = F.translate(latin, "Прошивка", "\xcf\xf0\xee\xf8\xe8\xe2\xea\xe0")
+    content = F.when(F.col("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(F.encode(cyrillic, "ISO-8859-1"))
+    out = posts.decode_pages(docs.select("doc_id", content.alias("content")), "doc_id")
+    return out.select("doc_id", F.sha2("html", 256).alias("sha256"), F.length("html").cast("long").alias("n_chars"))
 
 
 def _urls(spark, sf_dir):
@@ -244,6 +328,44 @@ def seed_review(spark, sf_dir):
     return audits.review(_candidates(spark, sf_dir), decisions, rules).select("url", "candidate_kind", "source_count", "decision")
 
 
+def review_state(spark, sf_dir):
+    decisions = spark.createDataFrame([("https://forum.example.org/index.php?showtopic=7&st=20", "accept"), ("https://forum.example.org/index.php?showtopic=999&st=0", "reject")], "url string, decision string")
+    rules = spark.createDataFrame([(0, "seed_topic_new_window", None, 3, "accept"), (1, None, "11", None, "reject")], "rule_ord int, candidate_kind string, topic_id string, min_source_count int, decision string")
+    found = stored(_candidates(spark, sf_dir))
+    return audits.review_summary(audits.review(found, decisions, rules), audits.stale_decisions(decisions, found, _seeds(spark)), _seeds(spark))
+
+
+def review_order(spark, sf_dir):
+    return audits.review_order(_candidates(spark, sf_dir), 40).select("place", "url", "review_priority", "candidate_kind", "source_count")
+
+
+def link_counts(spark, sf_dir):
+    return audits.link_counts(_urls(spark, sf_dir))
+
+
+def coverage_summary(spark, sf_dir):
+    return audits.coverage_summary(_seeds(spark), policy.crawl_plan(_seeds(spark), 8), _fetched(spark, sf_dir))
+
+
+def refresh_checks(spark, sf_dir):
+    receipts = _receipts(spark, sf_dir).withColumns({"errors": (F.col("event_id") % 7 == 0).cast("int"), "network_touched": F.col("event_id") % 11 == 0})
+    return audits.refresh_checks(receipts, receipts.agg(F.max("at").alias("now")), 168.0)
+
+
+def source_upsert(spark, sf_dir):
+    """A registry of the customers' segments, and upserts of every third customer."""
+    c = _table(spark, sf_dir, "customer").withColumns({"ref": F.concat(F.lit("https://forum.example.org/index.php?showtopic="), (F.col("c_custkey") % 40).cast("string")), "kind": F.when(F.col("c_custkey") % 3 == 0, "topic").otherwise("forum")})
+    old = c.where("c_custkey % 2 = 0").groupBy("ref", "kind").agg(F.min("c_custkey").alias("n"))
+    old = old.select(policy.source_id(F.col("kind"), F.col("ref")).alias("source_id"), F.col("ref").alias("source_ref"), "kind", F.lit("public").alias("access"), F.concat(F.lit("old "), F.col("n").cast("string")).alias("title"), F.lit("s").alias("scope"), F.array(F.lit("kept")).alias("tags"), F.lit(0.5).alias("trust_score"), F.lit(True).alias("enabled"), F.lit("none").alias("include_media"), F.lit("2025-01-01").alias("created_at"), F.lit("2025-01-01").alias("updated_at"))
+    new = c.where("c_custkey % 5 = 0").select(F.col("ref").alias("source_ref"), "kind", F.lit(None).cast("string").alias("access"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("title"), F.lit(None).cast("string").alias("scope"), F.when(F.col("c_custkey") % 3 == 0, F.array(F.col("c_mktsegment"), F.lit(" Two  Words "))).otherwise(F.array().cast("array<string>")).alias("tags"), F.when(F.col("c_custkey") % 4 == 0, F.lit(0.75)).alias("trust_score"), F.lit(None).cast("boolean").alias("enabled"), F.lit(None).cast("string").alias("include_media"), F.col("c_custkey").alias("ord"))
+    return registry.upsert(old, new, F.lit(NOW)).withColumn("tags", F.array_join("tags", "|"))
+
+
+def source_errors(spark, sf_dir):
+    given = _table(spark, sf_dir, "customer").select(F.when(F.col("c_custkey") % 50 == 0, F.lit(" ")).otherwise(F.col("c_name")).alias("source_ref"), F.when(F.col("c_custkey") % 7 == 0, "blog").otherwise("topic").alias("kind"), F.when(F.col("c_custkey") % 11 == 0, "login").alias("access"), F.when(F.col("c_custkey") % 13 == 0, "video").alias("include_media"), (F.col("c_acctbal") / 10000).alias("trust_score"))
+    return registry.errors(given)
+
+
 def crawl_plan(spark, sf_dir):
     return policy.crawl_plan(_seeds(spark), 8)
 
@@ -308,8 +430,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         token_counts, technical_aliases, term_stats, corpus_stats, exact_terms, query_terms, specific_terms, keyword_search, hashed_vectors, blake_vectors, vector_search, hybrid_search,
-        chunks, chunk_search, entity_mentions, relation_edges, graph_nodes, graph_edges, claim_rows, claim_kinds, claim_edges, claim_cross_edges, claim_stats, graph_search, grounding, evidence_chain, conflict_report,
-        url_policy, page_titles, page_links, page_texts, discovery_candidates, seed_review, crawl_plan, coverage, missing_pages, need_coverage, route_ratio, refresh_audit, latest_receipts, dedupe_latest, source_select, preflight_errors,
+        chunks, chunk_search, entity_mentions, relation_edges, graph_nodes, graph_edges, claim_rows, claim_kinds, claim_edges, claim_cross_edges, claim_stats, claim_nodes, merged_nodes, graph_search, graph_hybrid_search, grounding, evidence_chain, answer_labels, conflict_report, conflict_claims, answer_reports, answer_briefs,
+        url_policy, page_titles, page_links, page_texts, page_posts, decoded_pages, discovery_candidates, seed_review, review_state, review_order, link_counts, coverage_summary, refresh_checks, source_upsert, source_errors, crawl_plan, coverage, missing_pages, need_coverage, route_ratio, refresh_audit, latest_receipts, dedupe_latest, source_select, preflight_errors,
     )
 }
 

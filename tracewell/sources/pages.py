@@ -1,8 +1,10 @@
-"""Pages as sources: bytes to text, markup to text, titles and links."""
+"""Pages as sources: markup to text, titles and links."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -12,11 +14,6 @@ from pyspark.sql import functions as F
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 
-def decode(content: Column) -> Column:
-    """UTF-8 if it is valid, else Windows-1251 (needs spark.sql.legacy.javaCharsets)."""
-    return F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "windows-1251"))
-
-
 class _Visible(HTMLParser):
     """Text outside scripts, styles, signatures, edit notes and quote blocks."""
 
@@ -46,7 +43,7 @@ def visible_text(html: str | None) -> str:
     p = _Visible()
     p.feed(html or "")
     p.close()
-    return " ".join(" ".join(p.parts).split())
+    return " ".join(re.sub("-{10,}", " ", unescape(" ".join(p.parts))).split())
 
 
 def texts(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -59,12 +56,16 @@ def texts(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFra
     return pages.select(key, html).mapInArrow(run, f"{key} {pages.schema[key].dataType.simpleString()}, text string")
 
 
+def _resolved(c: Column) -> Column:
+    """Text with the basic references resolved."""
+    for ref, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        c = F.replace(c, F.lit(ref), F.lit(char))
+    return c
+
+
 def _plain(c: Column) -> Column:
     """Markup of flat elements to text: tags go, basic references are resolved, white space becomes one space."""
-    out = F.regexp_replace(c, "<[^>]*>", " ")
-    for ref, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        out = F.replace(out, F.lit(ref), F.lit(char))
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    return F.trim(F.regexp_replace(_resolved(F.regexp_replace(c, "<[^>]*>", " ")), r"\s+", " "))
 
 
 def title(html: Column, default: str = "Untitled topic") -> Column:
@@ -73,9 +74,27 @@ def title(html: Column, default: str = "Untitled topic") -> Column:
     return F.coalesce(first("h1"), first("title"), F.lit(default))
 
 
-def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """(key, ord, url, anchor_text): the anchors of each page, each address once, in order."""
-    anchors = F.regexp_extract_all("html", F.lit(r'(?is)<a\s[^>]*?href="[^"]*"[^>]*>.*?</a>'), F.lit(0))
+def links(pages: DataFrame, key: str = "page_id", base: str | None = None) -> DataFrame:
+    """(key, ord, url, anchor_text): the anchors of each page, each address once, in order.
+
+    The address may be quoted either way or not at all, and its references are resolved; with a base, relative ones are joined to it, and ones
+    that begin with a host or a path come out whole.
+    """
+    anchors = F.regexp_extract_all("html", F.lit(r"""(?is)<a\s[^>]*?href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>.*?</a>"""), F.lit(0))
     rows = pages.select(key, F.posexplode(anchors).alias("ord", "a"))
-    rows = rows.select(key, "ord", F.regexp_extract("a", r'(?is)href="([^"]*)"', 1).alias("url"), _plain(F.regexp_extract("a", r"(?is)<a\s[^>]*>(.*?)</a>", 1)).alias("anchor_text"))
-    return rows.where("url <> ''").groupBy(key, "url").agg(F.min(F.struct("ord", "anchor_text")).alias("f")).select(key, "f.ord", "url", "f.anchor_text")
+    href = F.regexp_extract("a", r"""(?is)href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    rows = rows.select(key, "ord", F.trim(_resolved(F.regexp_replace(href, r"""^["']|["']$""", ""))).alias("url"), _plain(F.regexp_extract("a", r"(?is)<a\s[^>]*>(.*?)</a>", 1)).alias("anchor_text"))
+    rows = rows.where("url <> ''")
+    if base:
+        u, host = F.col("url"), F.lit("/".join(base.split("/")[:3]))
+        whole = F.when(u.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), u).when(u.startswith("//"), F.concat(F.lit(base.split(":")[0] + ":"), u)).when(u.startswith("/"), F.concat(host, u)).when(u.startswith("?"), F.concat(F.lit(base.split("?")[0]), u)).when(u.startswith("#"), F.concat(F.lit(base.split("#")[0]), u)).otherwise(F.concat(F.lit(base.split("?")[0].rsplit("/", 1)[0] + "/"), u))
+        rows = rows.withColumn("url", whole)
+    return rows.groupBy(key, "url").agg(F.min(F.struct("ord", "anchor_text")).alias("f")).select(key, "f.ord", "url", "f.anchor_text")
+
+
+def bare_links(pages: DataFrame, hosts: tuple[str, ...], key: str = "page_id") -> DataFrame:
+    """(key, ord, url): addresses of some hosts that stand in a page as text or in scripts, each once, in order."""
+    any_of = "|".join(re.escape(h) for h in hosts)
+    found = F.regexp_extract_all(_resolved(F.col("html")), F.lit(rf"""https?://(?:www\.)?(?:{any_of})/[^\s"'<>]+"""), F.lit(0))
+    rows = pages.select(key, F.posexplode(found).alias("ord", "url"))
+    return rows.groupBy(key, "url").agg(F.min("ord").alias("ord")).select(key, "ord", "url")

@@ -23,7 +23,7 @@ def write_posts(pages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Each batch goes to a folder of its own number, so that a repeated batch overwrites itself."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        posts = rows.select("page_id", "url", title(F.col("html")).alias("title")).join(texts(rows), "page_id")
-        posts.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        with_title = rows.select(F.struct("page_id", "url", title(F.col("html")).alias("title")).alias("page"), "html")
+        texts(with_title, "page").select("page.*", "text").write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return pages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
