@@ -269,10 +269,9 @@ def page_posts(spark, sf_dir):
 
 def decoded_pages(spark, sf_dir):
     """Every other text as bytes of windows-1251 where that can hold it."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Прошивка "), F.coalesce("text", F.lit(""))).alias("text"))
-    latin = F.regexp_replace("text", "[^\\x00-\\x7Fа-яА-ЯёЁ]", "?")
-    cyrillic = F.translate(latin, "Прошивка", "\xcf\xf0\xee\xf8\xe8\xe2\xea\xe0")
-    content = F.when(F.col("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(F.encode(cyrillic, "ISO-8859-1"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    cyrillic = F.concat(F.lit("\xcf\xf0\xee\xf8\xe8\xe2\xea\xe0 "), F.regexp_replace("text", "[^\\x00-\\x7F]", "?"))
+    content = F.when(F.col("doc_id") % 2 == 0, F.encode(F.concat(F.lit("Прошивка "), "text"), "UTF-8")).otherwise(F.encode(cyrillic, "ISO-8859-1"))
     out = posts.decode_pages(docs.select("doc_id", content.alias("content")), "doc_id")
     return out.select("doc_id", F.sha2("html", 256).alias("sha256"), F.length("html").cast("long").alias("n_chars"))
 
@@ -372,7 +371,7 @@ def crawl_plan(spark, sf_dir):
 
 def _fetched(spark, sf_dir):
     e = _table(spark, sf_dir, "events")
-    return e.select(F.concat(F.lit("s"), (F.col("user_id") % 9).cast("string")).alias("seed_id"), (F.col("event_id") % 3 * 20).cast("string").alias("page_start")).where("seed_id <> 's4'")
+    return e.select(F.concat(F.lit("s"), (F.col("user_id") % 9).cast("string")).alias("seed_id"), (F.col("event_id") % 3 * 20).cast("string").alias("page_start"))
 
 
 def coverage(spark, sf_dir):

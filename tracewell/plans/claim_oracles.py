@@ -8,6 +8,10 @@ from tracewell.operators import answers as A
 from tracewell.operators import retrieval as G
 
 
+#: The text around the first of the places ps, c being the first one from 0.
+SNIPPET = """CASE WHEN len(ps) = 0 THEN substr(text, 1, 500) ELSE (CASE WHEN c - 190 > 0 THEN '...' ELSE '' END) || trim(substr(text, greatest(0, c - 190) + 1, least(length(text), c + 190) - greatest(0, c - 190)), ' ') || (CASE WHEN c + 190 < length(text) THEN '...' ELSE '' END) END"""
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -118,7 +122,9 @@ def rank_ctes(relation_pairs: str) -> str:
     near = "(starts_with(f, 'entity:') OR starts_with(f, 'claim:') OR starts_with(t, 'claim:') OR starts_with(f, 'post:'))"
     content = lambda c: f"list_distinct(list_filter(list_transform({c}, lambda x: lower(trim(x))), lambda x: length(x) >= 3 AND x NOT IN {_in(A.DEVICE_WORDS + A.WEAK_WORDS)}))"
     any_kind = lambda names: f"list_has_any(kinds, {_list(names)})"
-    node = lambda k: f"len(list_filter(nodes, lambda x: starts_with(x, 'entity:{k}:'))) > 0"
+    pick = lambda when, c: f"coalesce(list_sort(list_distinct(list({c}) FILTER ({when}))), [])"
+    val = lambda c: f"regexp_extract({c}, '^entity:[^:]*:(.*)$', 1)"
+    clause = lambda name, c: f"CASE WHEN len({c}) > 0 THEN '{name}: ' || array_to_string({c}, '; ') || '.' END"
     return f"""ed AS (SELECT url, kind, f, t, confidence FROM ce UNION ALL SELECT a_url, kind, f, t, confidence FROM xe UNION ALL SELECT b_url, kind, f, t, confidence FROM xe
  UNION ALL SELECT p.url, r.kind, from_node, to_node, confidence FROM (SELECT DISTINCT * FROM ({relation_pairs})) r JOIN p ON p.key = r.post_id),
 found AS (SELECT ranked.*, url FROM ranked JOIN p USING (key) WHERE rank <= 10),
@@ -134,8 +140,16 @@ g0 AS (SELECT rr.*, coalesce(kinds, []) AS kinds, coalesce(nodes, []) AS nodes,
 g1 AS (SELECT *, len(list_intersect(content, matched)) AS matched_count, len(list_filter(structured, lambda x: NOT list_contains(matched, x))) AS unmatched_structured, CASE WHEN asked THEN mc > 0 ELSE {any_kind(["fixes_issue", "warns_about", "warning_targets_object"])} END AS relation_supported, {any_kind(A.WARNING_KINDS)} AS warning_supported FROM g0),
 gr AS (SELECT *, CASE WHEN warning_requested AND NOT warning_supported THEN false WHEN unmatched_structured > 0 THEN matched_count >= 3 WHEN relation_supported THEN true WHEN len(content) >= 5 THEN matched_count >= 3 WHEN matched_count >= 2 THEN true ELSE matched_count >= 1 AND len(list_filter(mpl, lambda x: list_has_any(string_split(x, ' '), content))) > 0 END AS grounded FROM g1),
 ch0 AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY graph_rank) AS step FROM gr WHERE grounded),
-ch AS (SELECT *, CASE WHEN step = 1 THEN 'primary' WHEN {any_kind(A.CONFLICT)} THEN 'conflicting' WHEN {any_kind(A.SUPERSEDED)} THEN 'superseding' WHEN {any_kind(A.CONTEXT)} THEN 'contextual' WHEN {any_kind(A.WARNING_KINDS)} THEN 'caution' WHEN len(kinds) > 0 THEN 'supporting' ELSE 'related_context' END AS role,
- CASE WHEN {node("issue")} AND {node("fix")} AND {node("warning")} THEN 'issue_fix_warning' WHEN {node("issue")} AND {node("fix")} THEN 'issue_fix' WHEN {node("warning")} THEN 'warning' WHEN {node("root_action")} AND {node("recovery_action")} THEN 'root_recovery' WHEN {node("root_action")} THEN 'root' WHEN {node("recovery_action")} THEN 'recovery' ELSE 'snippet' END AS answer_kind FROM ch0)"""
+en AS (SELECT key, {pick("kind = 'issue'", "value")} AS issues, {pick("kind = 'root_action'", "value")} AS roots, {pick("kind = 'recovery_action'", "value")} AS recoveries FROM ent GROUP BY key),
+cx AS (SELECT query_id, key, {pick("kind = 'fixes_issue'", val("f"))} AS fixes, {pick("kind = 'warns_about'", val("f"))} AS warnings, {pick("kind = 'warns_about'", val("t"))} AS warned, {pick("kind LIKE '%_targets_file' AND t LIKE 'entity:file:%'", val("t"))} AS files, {pick("kind LIKE '%_uses_tool' AND t LIKE 'entity:tool:%'", val("t"))} AS tools, {pick("kind LIKE '%_mentions_firmware' AND regexp_matches(t, '^entity:(build_id|firmware_family|firmware_version):')", val("t"))} AS firmware, min(confidence) AS min_confidence FROM ctx GROUP BY query_id, key),
+own AS (SELECT key, list_sort(list(DISTINCT claim_id)) AS claim_ids, list_sort(list_distinct(flatten(list(context)))) AS contexts, list_sort(list_distinct(flatten(list(condition)))) AS conditions, list_sort(list(DISTINCT CASE WHEN i = total - 1 THEN 'latest_window' WHEN i * 3 < total THEN 'early' WHEN i * 3 < 2 * total THEN 'middle' ELSE 'late' END)) AS windows, list_distinct(flatten(list(targets) FILTER (claim_kind = 'warning'))) AS warning_targets FROM cw GROUP BY key),
+ch1 AS (SELECT ch0.* EXCLUDE (kinds), kinds, coalesce(issues, []) AS issues, coalesce(roots, []) AS roots, coalesce(recoveries, []) AS recoveries, coalesce(fixes, []) AS fixes, coalesce(warnings, []) AS warnings, list_sort(list_distinct(coalesce(warned, []) || coalesce(warning_targets, []))) AS warned_targets, coalesce(files, []) AS files, coalesce(tools, []) AS tools, coalesce(firmware, []) AS firmware, min_confidence, coalesce(claim_ids, []) AS claim_ids, coalesce(contexts, []) AS contexts, coalesce(conditions, []) AS conditions, coalesce(windows, []) AS windows
+ FROM ch0 LEFT JOIN en USING (key) LEFT JOIN cx USING (query_id, key) LEFT JOIN own USING (key)),
+ch AS (SELECT *, CASE WHEN step = 1 THEN 'primary' WHEN {any_kind(A.CONFLICT)} THEN 'conflicting' WHEN {any_kind(A.SUPERSEDED)} THEN 'superseding' WHEN {any_kind(A.CONTEXT)} THEN 'contextual' WHEN len(warnings) > 0 THEN 'caution' WHEN len(kinds) > 0 THEN 'supporting' ELSE 'related_context' END AS role,
+ CASE WHEN len(issues) > 0 AND len(fixes) > 0 AND len(warnings) > 0 THEN 'issue_fix_warning' WHEN len(issues) > 0 AND len(fixes) > 0 THEN 'issue_fix' WHEN len(warnings) > 0 THEN 'warning' WHEN len(roots) > 0 AND len(recoveries) > 0 THEN 'root_recovery' WHEN len(roots) > 0 THEN 'root' WHEN len(recoveries) > 0 THEN 'recovery' ELSE 'snippet' END AS answer_kind,
+ concat_ws(' ', {clause("Issue", "issues")}, {clause("Suggested fixes", "fixes")}, CASE WHEN len(warnings) > 0 THEN 'Warnings: ' || array_to_string(warnings, '; ') || CASE WHEN len(warned_targets) > 0 THEN ' (about: ' || array_to_string(warned_targets, '; ') || ')' ELSE '' END || '.' END, {clause("Root actions", "roots")}, {clause("Recovery actions", "recoveries")}, {clause("Target files", "files")}, {clause("Tools", "tools")}, {clause("Firmware context", "firmware")}) AS said FROM ch1),
+texts AS (SELECT ch.*, d.text AS own_text, list_filter(list_transform(me || mt, lambda x: position(lower(x) IN lower(d.text))), lambda x: x > 0) AS ps FROM ch JOIN d USING (key)),
+answered AS (SELECT texts.* EXCLUDE (text), coalesce(nullif(said, ''), trim(snippet)) AS answer_text FROM (SELECT *, {SNIPPET} AS snippet FROM (SELECT *, own_text AS text, list_min(ps) - 1 AS c FROM texts)) texts)"""
 
 
 def build(entity_base: str, relation_pairs: str, keyword: str, R) -> dict[str, str]:
@@ -145,6 +159,23 @@ def build(entity_base: str, relation_pairs: str, keyword: str, R) -> dict[str, s
     ranked = f"WITH {keyword}, {claims}, {edges}, {rank_ctes(relation_pairs.replace('FROM e a JOIN e b', 'FROM ent a JOIN ent b'))}"
     any_kind: Callable = lambda names: f"list_has_any(kinds, {_list(names)})"
     count = lambda k: f"count(*) FILTER (kind = 'claim_{k}_claim') AS {k}_count"
+    label_sql = ", ".join(f"array_to_string({c}, '|') AS {n}" for c, n in (("issues", "issue_labels"), ("fixes", "fix_labels"), ("warnings", "warning_labels"), ("warned_targets", "warned_target_labels"), ("roots", "root_action_labels"), ("recoveries", "recovery_action_labels"), ("files", "target_file_labels"), ("tools", "tool_labels"), ("firmware", "firmware_context_labels"), ("claim_ids", "claim_ids"), ("contexts", "claim_context_labels"), ("conditions", "claim_condition_labels"), ("windows", "windows")))
+    many = lambda c, kind, prefix, conf: f"SELECT '{prefix}:' || {_slug('x')}, '{kind}', x, url, {conf} FROM (SELECT url, unnest({c}) AS x FROM c)"
+    nodes = f"""cn AS (SELECT node_id, min(kind) AS kind, min(label) AS label, count(DISTINCT url) AS refs, max(confidence) AS confidence FROM (
+ SELECT claim_id AS node_id, 'claim' AS kind, label, url, confidence FROM c UNION ALL SELECT method_id, 'method', method_kind || ' ' || action, url, 0.65 FROM c UNION ALL SELECT 'action:' || {_slug("action")}, 'action', action, url, 0.65 FROM c
+ UNION ALL {many("targets", "target", "target", 0.65)} UNION ALL {many("tools", "tool", "tool", 0.65)} UNION ALL {many("condition", "condition", "condition", 0.6)} UNION ALL {many("context", "applicability_context", "context", 0.6)} UNION ALL {many("risks", "risk", "risk", 0.6)}
+ UNION ALL SELECT 'warning:' || substr({_slug("x")}, 1, 60) || ':' || substr(sha256(x), 1, 12), 'warning', x, url, 0.65 FROM (SELECT url, unnest(warnings) AS x FROM c)) GROUP BY node_id)"""
+    graph = """gn AS (SELECT 'topic' AS kind, count(DISTINCT topic_id) AS n, 0 AS refs, 1.0 * count(DISTINCT topic_id) AS conf FROM post UNION ALL SELECT 'post', count(*), count(*), 1.0 * count(*) FROM post UNION ALL SELECT kind, count(DISTINCT value), count(DISTINCT value || ' ' || key), 0.6 * count(DISTINCT value) FROM ent GROUP BY kind)"""
+    per_query = f"""{ranked}, cq AS (SELECT query_id, list_distinct(flatten(list(kinds))) AS kinds, count(*) AS cited FROM ch GROUP BY query_id),
+cr AS (SELECT query_id, n, CASE WHEN n > 0 THEN 'answered' ELSE 'insufficient_evidence' END AS answer_status, CASE WHEN n = 0 THEN 'insufficient_evidence' WHEN {any_kind(A.CONFLICT)} THEN 'conflict_detected' WHEN {any_kind(A.SUPERSEDED)} THEN 'possibly_superseded' WHEN {any_kind(A.CONTEXT)} THEN 'contextualized' ELSE 'clear' END AS conflict_status, coalesce(cited, 0) AS cited, CASE WHEN n = 0 THEN CASE WHEN open > 0 THEN 'unmatched_structured_query_terms' ELSE 'candidate_evidence_below_grounding_threshold' END END AS gap_reason, total_ AS candidates
+FROM (SELECT query_id, count(*) AS total_, count(*) FILTER (grounded) AS n, arg_min(unmatched_structured, graph_rank) AS open FROM gr GROUP BY query_id) LEFT JOIN cq USING (query_id))"""
+    every = lambda c: f"coalesce(list_sort(list_distinct(flatten(list({c})))), [])"
+    reported = f"""{per_query},
+st AS (SELECT query_id, count(*) AS chain_step_count, count(DISTINCT p.topic_id) AS topic_count, count(DISTINCT ch.url) AS source_count, list_sort(list(DISTINCT answer_kind)) AS answer_kinds, {every("kinds")} AS relation_kinds, '2026-01-01T00:00:00Z' AS latest_captured_at, {every("windows")} AS profile_windows, {every("firmware || contexts")} AS context_labels, {every("conditions")} AS condition_labels, {every("warnings")} AS warning_labels, {every("warned_targets")} AS warning_target_labels FROM ch JOIN p USING (key) GROUP BY query_id),
+wr AS (SELECT query_id, count(*) AS warning_relation_count FROM (SELECT DISTINCT query_id, kind, f, t FROM ctx SEMI JOIN ch USING (query_id, key) WHERE kind IN {_in(A.WARNING_KINDS[1:])}) GROUP BY query_id),
+rp AS (SELECT *, CASE WHEN steps = 0 THEN 'not_enough_local_evidence' WHEN conflict_status = 'conflict_detected' THEN 'conflicting_evidence' WHEN conflict_status = 'possibly_superseded' THEN 'possibly_superseded' WHEN list_contains(pw, 'latest_window') THEN 'fresh_answer' WHEN conflict_status = 'contextualized' THEN 'old_with_newer_context' ELSE 'old_but_still_supported' END AS freshness_state, len(wl) > 0 OR wc > 0 AS warning_supported
+ FROM (SELECT *, coalesce(chain_step_count, 0) AS steps, coalesce(profile_windows, []) AS pw, coalesce(warning_labels, []) AS wl, coalesce(warning_relation_count, 0) AS wc FROM cr LEFT JOIN st USING (query_id) LEFT JOIN wr USING (query_id) JOIN (SELECT query_id, query, list_has_any(t, {_list(A.WARNING_WORDS)}) AS warning_requested FROM q) USING (query_id)))"""
+    flat = lambda c: f"array_to_string(coalesce({c}, []), '|') AS {c}"
     return {
         "claim_rows": f"WITH {claims} SELECT claim_id, claim_kind, method_id, action, label, {joined}, key AS post_id, confidence, manual AS manual_review_required, relation_key, CASE WHEN i = total - 1 THEN 'latest_window' WHEN i * 3 < total THEN 'early' WHEN i * 3 < 2 * total THEN 'middle' ELSE 'late' END AS profile_window, newer_related_count, evidence_start FROM cw",
         "claim_kinds": f"WITH {claims} SELECT claim_kind, method_kind, action, confidence, count(*) AS n, count(*) FILTER (manual) AS manual FROM c GROUP BY ALL",
@@ -156,7 +187,17 @@ SELECT a.*, b.*, d.* FROM (SELECT count(*) AS claim_count, count(*) FILTER (clai
         "graph_search": f"{ranked} SELECT query_id, CAST(graph_rank AS INTEGER) AS graph_rank, CAST(rank AS INTEGER) AS rank, key, score, mc AS matching_edge_count, mk AS matching_kinds, CAST(mf AS DOUBLE) AS matching_confidence, CAST(graph_raw AS DOUBLE) AS graph_raw FROM rr",
         "grounding": f"{ranked} SELECT query_id, CAST(graph_rank AS INTEGER) AS graph_rank, key, CAST(matched_count AS INTEGER) AS matched_count, CAST(unmatched_structured AS INTEGER) AS unmatched_structured, relation_supported, warning_requested, warning_supported, grounded FROM gr",
         "evidence_chain": f"{ranked} SELECT query_id, CAST(step AS INTEGER) AS step, key AS post_id, role, answer_kind, array_to_string(kinds, '|') AS relation_kinds FROM ch",
-        "conflict_report": f"""{ranked}, cq AS (SELECT query_id, list_distinct(flatten(list(kinds))) AS kinds, count(*) AS cited FROM ch GROUP BY query_id)
-SELECT query_id, CASE WHEN n > 0 THEN 'answered' ELSE 'insufficient_evidence' END AS answer_status, CASE WHEN n = 0 THEN 'insufficient_evidence' WHEN {any_kind(A.CONFLICT)} THEN 'conflict_detected' WHEN {any_kind(A.SUPERSEDED)} THEN 'possibly_superseded' WHEN {any_kind(A.CONTEXT)} THEN 'contextualized' ELSE 'clear' END AS conflict_status, coalesce(cited, 0) AS cited, CASE WHEN n = 0 THEN CASE WHEN open > 0 THEN 'unmatched_structured_query_terms' ELSE 'candidate_evidence_below_grounding_threshold' END END AS gap_reason
-FROM (SELECT query_id, count(*) FILTER (grounded) AS n, arg_min(unmatched_structured, graph_rank) AS open FROM gr GROUP BY query_id) LEFT JOIN cq USING (query_id)""",
+        "conflict_report": f"{per_query} SELECT query_id, answer_status, conflict_status, cited, gap_reason FROM cr",
+        "answer_labels": f"{ranked} SELECT query_id, CAST(step AS INTEGER) AS step, key AS post_id, answer_text, min_confidence, {label_sql} FROM answered",
+        "claim_nodes": f"WITH {claims}, {nodes} SELECT node_id, kind, label, refs, confidence FROM cn",
+        "merged_nodes": f"WITH {claims}, {nodes}, {graph} SELECT kind, CAST(sum(n) AS BIGINT) AS nodes, CAST(sum(refs) AS BIGINT) AS refs, CAST(round(sum(conf), 4) AS DOUBLE) AS confidence FROM (SELECT kind, n, refs, conf FROM gn UNION ALL SELECT kind, count(*), sum(refs), sum(confidence) FROM cn GROUP BY kind) GROUP BY kind",
+        "conflict_claims": f"""{ranked}, cc AS (SELECT DISTINCT query_id, CASE WHEN kind IN {_in(A.CONFLICT)} THEN 'conflicting' WHEN kind IN {_in(A.SUPERSEDED)} THEN 'superseding' WHEN kind IN {_in(A.CONTEXT)} THEN 'contextual' END AS role, unnest([f, t]) AS claim_id FROM ctx SEMI JOIN ch USING (query_id, key))
+SELECT query_id, role, count(*) AS claims, min(claim_id) AS first_claim FROM cc WHERE role IS NOT NULL AND starts_with(claim_id, 'claim:') GROUP BY query_id, role""",
+        "answer_reports": f"""{reported} SELECT query_id, steps AS chain_step_count, coalesce(topic_count, 0) AS topic_count, coalesce(source_count, 0) AS source_count, candidates - n AS filtered_count, n - steps AS deduplicated_count, freshness_state, CASE WHEN steps = 0 OR (regexp_matches(lower(query), 'now|current|сейчас|актуаль|можно ли') AND len(coalesce(context_labels, [])) = 0) THEN 'context_required' ELSE 'context_available' END AS applicability_status, warning_requested, warning_supported, CASE WHEN warning_supported THEN 'warning_present' ELSE 'no_warning_claim_in_evidence' END AS risk_status, wc AS warning_relation_count,
+ CASE WHEN steps = 0 THEN 'none' WHEN conflict_status = 'conflict_detected' THEN 'bounded_conflict_visible' WHEN list_contains(coalesce(relation_kinds, []), 'claim_supersedes_claim') THEN 'bounded_freshness_pressure_visible' WHEN steps >= 2 THEN 'supported_by_multiple_local_sources' ELSE 'single_grounded_source' END AS confidence, latest_captured_at, {", ".join(map(flat, ("answer_kinds", "relation_kinds", "profile_windows", "context_labels", "condition_labels", "warning_labels", "warning_target_labels")))} FROM rp""",
+        "answer_briefs": f"""{reported}, ft AS (SELECT query_id, trim(regexp_replace(answer_text, '\\s+', ' ', 'g')) AS a FROM answered WHERE step = 1),
+fs AS (SELECT query_id, regexp_replace(CASE WHEN length(a) > 260 THEN regexp_replace(regexp_replace(substr(a, 1, 260), ' [^ ]*$', ''), '[.,;: ]+$', '') || '...' ELSE a END, '\\.$', '') AS summary FROM ft),
+rf AS (SELECT query_id, string_agg('[' || step || ']', ', ' ORDER BY step) AS refs FROM ch WHERE step > 1 GROUP BY query_id)
+SELECT query_id, answer_status AS status, CASE WHEN answer_status = 'answered' THEN concat_ws(' ', 'По локальной базе: ' || summary || ' [1].', 'Дополнительный контекст: см. ' || refs || '.', 'Свежесть: последнее локальное сохранение источников ' || latest_captured_at || '.', 'Ограничения: ' || nullif(concat_ws('; ', CASE WHEN candidates - n > 0 THEN 'отфильтровано слабых кандидатов: ' || (candidates - n) END, CASE WHEN n - steps > 0 THEN 'схлопнуто дублей постов: ' || (n - steps) END), '') || '.', CASE WHEN conflict_status IN ('conflict_detected', 'possibly_superseded', 'contextualized') THEN 'Семантика claims: ' || conflict_status || '.' END, CASE WHEN warning_supported THEN 'Предупреждения/риски присутствуют в evidence.' END) ELSE gap_reason END AS brief
+FROM rp LEFT JOIN fs USING (query_id) LEFT JOIN rf USING (query_id)""",
     }

@@ -167,7 +167,7 @@ g AS (SELECT url, topic_id, page_start, count(*) AS source_count, bool_or(regexp
 an AS (SELECT url, string_agg(anchor_text, '|' ORDER BY n) AS anchor_texts FROM (SELECT url, anchor_text, row_number() OVER (PARTITION BY url ORDER BY min(ord), anchor_text) AS n FROM l GROUP BY url, anchor_text) WHERE n <= 8 GROUP BY url),
 cand AS (SELECT url, topic_id, page_start, CASE WHEN seeded THEN 'seed_topic_new_window' ELSE 'unseeded_topic' END AS candidate_kind, source_count, anchor_texts, CASE WHEN seeded OR source_count >= 8 OR regexp_matches(lower(url || ' ' || anchor_texts || ' ' || topic_id), 'topic 7|label 3') THEN 'high' WHEN source_hit OR source_count >= 2 THEN 'medium' ELSE 'low' END AS review_priority FROM g JOIN an USING (url))"""
     plan = f"{seeds}, plan AS (SELECT seed_id, CAST(i AS INTEGER) AS page_index, CAST(CAST(page_start AS INTEGER) + i * 20 AS VARCHAR) AS page_start, 'https://forum.example.org/index.php?showtopic=' || topic_id || '&st=' || CAST(CAST(page_start AS INTEGER) + i * 20 AS VARCHAR) AS url FROM seeds, range(3) r(i) WHERE i < max_pages AND seed_ord < 8)"
-    fetched = "fetched AS (SELECT DISTINCT 's' || CAST(user_id % 9 AS VARCHAR) AS seed_id, CAST(event_id % 3 * 20 AS VARCHAR) AS page_start FROM events WHERE user_id % 9 <> 4)"
+    fetched = "fetched AS (SELECT DISTINCT 's' || CAST(user_id % 9 AS VARCHAR) AS seed_id, CAST(event_id % 3 * 20 AS VARCHAR) AS page_start FROM events)"
     needs = "needs(need_id, focus, cases) AS (VALUES ('n1', ['f0'], ['a']), ('n2', ['f9'], ['a']), ('n3', ['f0', 'f1'], []), ('n4', ['f1'], ['a', 'z']), ('n5', ['f3'], ['b']))"
     receipts = "r AS (SELECT 'run' || CAST(user_id AS VARCHAR) AS run_id, ['crawl', 'normalize', 'index', 'vector', 'graph'][event_id % 5 + 1] AS stage, ts AS t_at, event_id FROM events)"
     srcs = "s AS (SELECT 'id' || i AS source_id, 'https://forum.example.org/index.php?showtopic=' || i || '&st=' || CASE WHEN i % 5 = 0 THEN 'x' ELSE CAST(i * 20 - 20 AS VARCHAR) END AS source_ref, CASE WHEN i % 3 = 0 THEN 'profile' ELSE 'topic' END AS kind, CASE WHEN i % 4 = 0 THEN 'login' ELSE 'public' END AS access, CASE WHEN i % 6 = 0 THEN 'images' ELSE 'none' END AS media, i, i % 7 <> 0 AS enabled FROM range(30) t(i))"
@@ -187,6 +187,31 @@ SELECT page_id, min(ord) AS ord, url, arg_min(anchor_text, ord) AS anchor_text F
         "refresh_audit": f"""WITH {receipts}, w AS (SELECT run_id, max(t_at) FILTER (stage = 'crawl') AS c, max(t_at) FILTER (stage = 'normalize') AS n, max(t_at) FILTER (stage = 'index') AS i, max(t_at) FILTER (stage = 'vector') AS v, max(t_at) FILTER (stage = 'graph') AS g FROM r GROUP BY run_id),
 x AS (SELECT run_id, c, CASE WHEN c IS NOT NULL THEN round(greatest(0, epoch((SELECT date_trunc('second', max(t_at)) FROM r)) + (SELECT (epoch_us(max(t_at)) % 1000000) / 1e6 FROM r) - epoch_us(c) / 1e6) / 3600, 2) END AS age_hours, coalesce(n >= c AND i >= n AND v >= n AND g >= n, false) AS derived_in_order FROM w)
 SELECT run_id, age_hours, derived_in_order, CASE WHEN c IS NULL THEN 'missing_run' WHEN age_hours <= 168 AND derived_in_order THEN 'fresh' ELSE 'needs_refresh' END AS status FROM x""",
+        "review_state": f"""WITH {found}, dec(url, decision) AS (VALUES ('https://forum.example.org/index.php?showtopic=7&st=20', 'accept'), ('https://forum.example.org/index.php?showtopic=999&st=0', 'reject')),
+rv AS (SELECT cand.*, coalesce(dec.decision, CASE WHEN candidate_kind = 'seed_topic_new_window' AND source_count >= 3 THEN 'accept' WHEN topic_id = '11' THEN 'reject' ELSE 'unreviewed' END) AS d, EXISTS (SELECT 1 FROM seeds s WHERE cand.url = 'https://forum.example.org/index.php?showtopic=' || s.topic_id || '&st=' || s.page_start) AS is_seed FROM cand LEFT JOIN dec USING (url)),
+x AS (SELECT count(*) AS candidate_count, count(*) FILTER (d = 'unreviewed') AS unreviewed_count, count(*) FILTER (d = 'accept' AND is_seed) AS accepted_seeded_count, count(*) FILTER (d = 'accept' AND NOT is_seed) AS accepted_missing_from_seed_count, count(*) FILTER (d = 'reject') AS rejected_count, (SELECT count(*) FROM dec WHERE NOT EXISTS (SELECT 1 FROM cand WHERE cand.url = dec.url)) AS stale_decision_count FROM rv)
+SELECT *, CASE WHEN unreviewed_count > 0 THEN 'needs_review' WHEN accepted_missing_from_seed_count > 0 THEN 'reviewed_pending_seed_update' ELSE 'reviewed' END AS status FROM x""",
+        "review_order": f"WITH {found}, o AS (SELECT row_number() OVER (ORDER BY CASE review_priority WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, candidate_kind = 'seed_topic_new_window', source_count DESC, topic_id, page_start, url) AS place, * FROM cand) SELECT CAST(place AS INTEGER) AS place, url, review_priority, candidate_kind, source_count FROM o WHERE place <= 40",
+        "link_counts": f"WITH {urls} SELECT CASE WHEN allowed THEN 'allowed' ELSE 'denied' END AS verdict, count(*) AS links, count(DISTINCT url) AS addresses FROM c GROUP BY ALL",
+        "coverage_summary": f"""WITH {plan}, {fetched}, pg AS (SELECT DISTINCT seed_id, page_start FROM plan), sd AS (SELECT DISTINCT plan.seed_id, focus, EXISTS (SELECT 1 FROM fetched f WHERE f.seed_id = plan.seed_id) AS there FROM plan JOIN seeds USING (seed_id)),
+x AS (SELECT (SELECT count(*) FROM pg) AS expected_pages, (SELECT count(*) FROM pg SEMI JOIN fetched USING (seed_id, page_start)) AS fetched_pages, count(*) AS expected_seeds, count(*) FILTER (there) AS fetched_seeds, count(DISTINCT focus) AS expected_focus, count(DISTINCT focus) FILTER (there) AS captured_focus FROM sd)
+SELECT *, round(fetched_pages / expected_pages, 4) AS page_ratio, CASE WHEN (SELECT count(*) FROM fetched) = 0 THEN 'no_run' WHEN expected_pages = fetched_pages AND expected_focus = captured_focus THEN 'coverage_ready' ELSE 'partial' END AS status FROM x""",
+        "refresh_checks": f"""WITH {receipts}, w AS (SELECT run_id, max(t_at) FILTER (stage = 'crawl') AS c, max(t_at) FILTER (stage = 'normalize') AS n, max(t_at) FILTER (stage = 'index') AS i, max(t_at) FILTER (stage = 'vector') AS v, max(t_at) FILTER (stage = 'graph') AS g, max(CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) FILTER (stage = 'crawl') AS errors, bool_or(event_id % 11 = 0) FILTER (stage <> 'crawl') AS touched FROM r GROUP BY run_id),
+x AS (SELECT *, n IS NOT NULL AND i IS NOT NULL AND v IS NOT NULL AND g IS NOT NULL AS derived FROM w)
+SELECT run_id, unnest(['receipt_chain_present', 'crawl_age_within_limit', 'crawl_errors_zero', 'derived_stages_network_free', 'derived_timestamps_present', 'derived_not_older_than_crawl']) AS check, unnest([c IS NOT NULL AND derived, coalesce((SELECT epoch_us(max(t_at)) FROM r) - epoch_us(c) <= 168 * 3600 * 1000000::BIGINT, false), coalesce(errors = 0, false), coalesce(derived AND NOT touched, false), derived, coalesce(n >= c AND i >= n AND v >= n AND g >= n, false)]) AS ok FROM x""",
+        "page_posts": """WITH d AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+k AS (SELECT *, trim(regexp_replace(regexp_replace(text, '-{10,}', ' ', 'g'), '\\s+', ' ', 'g')) AS clean, trim(regexp_replace(regexp_replace(substr('>' || text, 1, 12000), '-{10,}', ' ', 'g'), '\\s+', ' ', 'g')) AS shown, doc_id % 4 AS m FROM d)
+SELECT doc_id AS page_id, CASE WHEN m = 3 OR clean = '' THEN 'window' ELSE ['table', 'post_body', 'article'][m + 1] END AS layout, 0::INTEGER AS ord, CAST(doc_id AS VARCHAR) AS post_id, CASE WHEN m = 0 AND clean <> '' THEN trim(regexp_replace('by ' || source, '\\s+', ' ', 'g')) END AS author_label, CASE WHEN m = 0 AND clean <> '' THEN '01.02.21, 10:30' END AS posted_at,
+ CASE WHEN m = 3 THEN substr(shown, 1, 8000) WHEN clean = '' AND m = 0 THEN '> foot' WHEN clean = '' THEN '>' WHEN m = 0 THEN substr(clean, 1, 8000) ELSE clean END AS text FROM k WHERE m <> 2 OR clean <> ''""",
+        "decoded_pages": "WITH t AS (SELECT doc_id, 'Прошивка ' || CASE WHEN doc_id % 2 = 0 THEN coalesce(text, '') ELSE regexp_replace(coalesce(text, ''), '[^\\x00-\\x7F]', '?', 'g') END AS x FROM documents) SELECT doc_id, sha256(x) AS sha256, length(x) AS n_chars FROM t",
+        "source_errors": """WITH g AS (SELECT CASE WHEN c_custkey % 50 = 0 THEN ' ' ELSE c_name END AS source_ref, CASE WHEN c_custkey % 7 = 0 THEN 'blog' ELSE 'topic' END AS kind, c_custkey AS k, c_acctbal / 10000 AS trust FROM customer)
+SELECT source_ref, kind, unnest(list_filter([CASE WHEN trim(source_ref) = '' THEN 'empty_source_ref' END, CASE WHEN kind = 'blog' THEN 'unsupported_kind' END, CASE WHEN k % 11 = 0 THEN 'unsupported_access' END, CASE WHEN k % 13 = 0 THEN 'unsupported_media_policy' END, CASE WHEN trust < 0 OR trust > 1 THEN 'trust_score_out_of_range' END], lambda x: x IS NOT NULL)) AS error FROM g""",
+        "source_upsert": """WITH c AS (SELECT *, 'https://forum.example.org/index.php?showtopic=' || CAST(c_custkey % 40 AS VARCHAR) AS ref, CASE WHEN c_custkey % 3 = 0 THEN 'topic' ELSE 'forum' END AS kind FROM customer),
+o AS (SELECT ref, kind, 'old ' || min(c_custkey) AS title FROM c WHERE c_custkey % 2 = 0 GROUP BY ref, kind),
+n AS (SELECT ref, kind, max(c_custkey) AS k, arg_max(c_name, c_custkey) AS name, arg_max(c_mktsegment, c_custkey) AS segment FROM c WHERE c_custkey % 5 = 0 GROUP BY ref, kind),
+b AS (SELECT coalesce(n.ref, o.ref) AS ref, coalesce(n.kind, o.kind) AS kind, o.title AS old_title, o.ref IS NOT NULL AS was, n.ref IS NOT NULL AS is_new, k, name, segment FROM o FULL JOIN n ON o.ref = n.ref AND o.kind = n.kind)
+SELECT 'src-' || substr(sha256(kind || ':' || lower(ref)), 1, 16) AS source_id, ref AS source_ref, kind, 'public' AS access, coalesce(CASE WHEN is_new AND k % 2 = 0 THEN name END, old_title, ref) AS title, CASE WHEN was THEN 's' ELSE 'operator_selected_' || kind END AS scope,
+ CASE WHEN is_new AND k % 3 = 0 THEN replace(lower(trim(segment)), ' ', '-') || '|two-words' WHEN was THEN 'kept' ELSE '' END AS tags, CASE WHEN is_new AND k % 4 = 0 THEN 0.75::DOUBLE WHEN was THEN 0.5 END AS trust_score, true AS enabled, 'none' AS include_media, CASE WHEN was THEN '2025-01-01' ELSE '2026-01-08T00:00:00Z' END AS created_at, CASE WHEN is_new THEN '2026-01-08T00:00:00Z' ELSE '2025-01-01' END AS updated_at, CASE WHEN is_new AND was THEN 'updated' WHEN is_new THEN 'created' ELSE 'kept' END AS change FROM b""",
         "latest_receipts": f"WITH {receipts} SELECT stage, run_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY t_at DESC, run_id DESC) AS n FROM r) WHERE n = 1",
         "dedupe_latest": "SELECT conv_id, role, turn, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn DESC, text) AS n FROM conversations) WHERE n = 1",
         "source_select": f"WITH {srcs} SELECT source_id, source_ref, 'src-' || substr(sha256(kind || ':' || lower(source_ref)), 1, 16) AS stable_id FROM s WHERE enabled AND kind = 'topic' AND i % 3 IN (1, 2)",
