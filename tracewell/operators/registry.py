@@ -21,7 +21,7 @@ def tags(c: Column) -> Column:
 
 def from_csv(c: Column) -> Column:
     """The parts of a list with commas, without blanks around them or empty ones."""
-    return F.filter(F.transform(F.split(c, ","), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(c, ","), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def errors(given: DataFrame) -> DataFrame:
