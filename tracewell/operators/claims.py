@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import rules as R
 from tracewell.functions.text import slug
+from tracewell.operators.stages import stored
 
 
 def _has(low: Column, terms: list[str]) -> Column:
@@ -172,6 +173,55 @@ def merged_nodes(graph: DataFrame, claimed: DataFrame) -> DataFrame:
     return merged.select("node_id", "f.kind", "f.label", F.array_distinct(F.flatten(F.transform("r", lambda x: x["source_refs"]))).alias("source_refs"), "f.confidence")
 
 
+def _sides(rows: DataFrame) -> DataFrame:
+    """What decides how claims are related."""
+    says = F.lower(F.concat_ws(" ", F.array_join("warning_labels", " "), "label"))
+    return rows.select("claim_id", "claim_kind", "post_id", "source_url", "target_labels", "relation_key", "time_key", (F.col("claim_kind") == "warning").alias("warns"), _has(says, R.WARNING_TERMS + R.NEGATIVE_TERMS).alias("strong"), (F.col("source_updates_prior_claims") | _has(F.lower("label"), R.UPDATE_TERMS + R.NEGATIVE_TERMS)).alias("updates"))
+
+
+def cross_edge_counts(rows: DataFrame) -> DataFrame:
+    """(claim_id, kind, confidence, manual_review_required, edges): how many relations between claims begin at each claim, without making them.
+
+    Claims with the same targets, key and flags are one class, and classes are compared instead of claims: a claim's relations to a class are
+    the class without the claims of its own post, or, where the later one counts, those of it that are older, which are sums over days and in a day.
+    The work grows with the claims times the classes that each is related to.
+    """
+    base = _sides(rows).withColumn("cls", F.xxhash64("target_labels", "relation_key", "warns", "strong", "updates"))
+    base = stored(base.withColumn("day", F.struct(F.col("time_key.known"), F.substring(F.col("time_key.at"), 1, 10).alias("d"))).drop("source_url", "claim_kind"))
+    classes = base.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("target_labels", "relation_key", "warns", "strong", "updates")], F.count("*").alias("n"))
+    keyed = classes.select("cls", "warns", "strong", "updates", "n", F.explode(F.concat(F.transform("target_labels", lambda t: F.concat(F.lit("t:"), t)), F.array(F.concat(F.lit("k:"), "relation_key")))).alias("key"))
+    a, b = (keyed.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("cls", "warns", "strong", "updates", "n")]) for p in "ab")
+    pairs = a.join(b, "key").where("(a_warns AND NOT b_warns) OR a_updates").select("a_cls", "b_cls", (F.col("a_warns") & ~F.col("b_warns")).alias("against"), F.col("a_strong").alias("strong"), F.col("a_updates").alias("updates"), "a_n", "b_n").distinct()
+    pairs = stored(pairs)
+    own = base.groupBy("post_id", "cls").agg(F.count("*").alias("own"))
+
+    def others(side: str, other: str, when: str) -> DataFrame:
+        """Claims of one side with the number of claims in other posts on the other side."""
+        near = base.select("claim_id", "post_id", F.col("cls").alias(f"{side}_cls")).join(pairs.where(when), f"{side}_cls")
+        near = near.join(own.withColumnRenamed("cls", f"{other}_cls"), ["post_id", f"{other}_cls"], "left")
+        return near.select("claim_id", "strong", (F.col(f"{other}_n") - F.coalesce("own", F.lit(0))).alias("edges")).where("edges > 0")
+
+    later = base.select("claim_id", "time_key", "day", F.col("cls").alias("a_cls")).join(pairs.where("updates").select("a_cls", "b_cls", "against"), "a_cls").drop("a_cls")
+    times = base.select(F.col("cls").alias("b_cls"), "day", "time_key", F.lit(1).alias("c")).unionByName(later.select("b_cls", "day", "time_key", F.lit(0).alias("c")))
+    times = times.groupBy("b_cls", "day", "time_key").agg(F.sum("c").alias("c"))
+    before = lambda *by: W.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(W.unboundedPreceding, -1)
+    days = times.groupBy("b_cls", "day").agg(F.sum("c").alias("c")).select("b_cls", "day", F.coalesce(F.sum("c").over(before("b_cls", "day")), F.lit(0)).alias("earlier"))
+    older = times.withColumn("today", F.coalesce(F.sum("c").over(before("b_cls", "day", "time_key")), F.lit(0))).join(days, ["b_cls", "day"]).select("b_cls", "time_key", (F.col("earlier") + F.col("today")).alias("edges"))
+    later = later.drop("day").join(older, ["b_cls", "time_key"]).where("edges > 0")
+
+    def edges(df: DataFrame, kind: str, confidence: float, manual: bool) -> DataFrame:
+        return df.select("claim_id", F.lit(kind).alias("kind"), F.lit(confidence).alias("confidence"), F.lit(manual).alias("manual_review_required"), "edges")
+
+    forward = others("a", "b", "against")
+    return (
+        edges(forward, "claim_contextualizes_claim", 0.55, False)
+        .unionByName(edges(forward.where("strong"), "claim_contradicts_claim", 0.52, True))
+        .unionByName(edges(others("b", "a", "against AND strong"), "claim_deprecated_for_context", 0.5, True))
+        .unionByName(edges(later, "claim_supersedes_claim", 0.5, True))
+        .unionByName(edges(later.where("NOT against"), "claim_contextualizes_claim", 0.5, True))
+    )
+
+
 def cross_edges(rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
     """(kind, from_node, to_node, confidence, manual_review_required, source_urls) between related claims of different posts.
 
@@ -180,8 +230,7 @@ def cross_edges(rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
     Related are claims with a common target or an equal relation key: two equi-joins instead of a comparison of all with all. Only warnings
     and updates are on the side that edges start from.
     """
-    says = F.lower(F.concat_ws(" ", F.array_join("warning_labels", " "), "label"))
-    base = rows.select("claim_id", "claim_kind", "post_id", "source_url", "target_labels", "relation_key", "time_key", (F.col("claim_kind") == "warning").alias("warns"), _has(says, R.WARNING_TERMS + R.NEGATIVE_TERMS).alias("strong"), (F.col("source_updates_prior_claims") | _has(F.lower("label"), R.UPDATE_TERMS + R.NEGATIVE_TERMS)).alias("updates"))
+    base = _sides(rows)
     a = base.where("warns OR updates").select(*[F.col(c).alias("a_" + c) for c in base.columns])
     b = base.select(*[F.col(c).alias("b_" + c) for c in base.columns])
     keyed = lambda d, p: d.select("*", F.explode(F.concat(F.transform(f"{p}_target_labels", lambda t: F.concat(F.lit("t:"), t)), F.array(F.concat(F.lit("k:"), f"{p}_relation_key")))).alias("key"))
@@ -207,11 +256,12 @@ def cross_edges(rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
 
 
 def claim_stats(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row of counters over claims and the kinds of edges."""
+    """One row of counters over claims and the kinds of edges(kind, edges), the numbers of relations."""
     count = lambda c: F.count_if(c)
     sure = F.col("confidence")
     of_claims = rows.agg(F.count("*").alias("claim_count"), count(F.col("claim_kind") == "method").alias("method_count"), count(F.col("claim_kind") == "warning").alias("warning_count"), count(F.col("manual_review_required")).alias("manual_review_candidate_count"), count(sure >= 0.7).alias("high"), count((sure >= 0.5) & (sure < 0.7)).alias("medium"), count(sure < 0.5).alias("low"))
     contexts = rows.select(F.explode("applicability_context").alias("c")).agg(F.countDistinct("c").alias("applicability_context_count"))
     kind = F.col("kind")
-    of_edges = edges.agg(*[count(kind == f"claim_{k}_claim").alias(f"{k}_count") for k in ("supersedes", "contradicts", "contextualizes")], count(kind.isin("source_warns_about_claim", "warning_targets_object", "warning_targets_action")).alias("warning_relation_count"))
+    number = lambda when: F.coalesce(F.sum(F.when(when, F.col("edges"))), F.lit(0))
+    of_edges = edges.agg(*[number(kind == f"claim_{k}_claim").alias(f"{k}_count") for k in ("supersedes", "contradicts", "contextualizes")], number(kind.isin("source_warns_about_claim", "warning_targets_object", "warning_targets_action")).alias("warning_relation_count"))
     return of_claims.crossJoin(contexts).crossJoin(of_edges)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import rules as R
 from tracewell.functions import text as T
-from tracewell.operators import answers, audits, claims, corpus, entities, keyword, policy, registry, retrieval, vectors
+from tracewell.operators import answers, audits, claims, corpus, entities, keyword, policy, registry, retrieval, suites, vectors
 from tracewell.operators.stages import once, spread, stored
 from tracewell.sources import pages as sources
 from tracewell.sources import posts
@@ -153,15 +153,23 @@ def claim_edges(spark, sf_dir):
 
 
 def claim_cross_edges(spark, sf_dir):
-    return claims.cross_edges(_claims(spark, sf_dir)).groupBy("kind", "confidence", "manual_review_required").agg(F.count("*").alias("edges"), F.min("from_node").alias("first"))
+    return claims.cross_edge_counts(_claims(spark, sf_dir)).groupBy("kind", "confidence", "manual_review_required").agg(F.sum("edges").alias("edges"), F.min("claim_id").alias("first"))
 
 
 def claim_stats(spark, sf_dir):
     rows = _claims(spark, sf_dir)
-    edges = claims.claim_edges(rows).select("kind").unionByName(claims.cross_edges(rows).select("kind"))
+    edges = claims.claim_edges(rows).groupBy("kind").agg(F.count("*").alias("edges")).unionByName(claims.cross_edge_counts(rows).groupBy("kind").agg(F.sum("edges").alias("edges")))
     return claims.claim_stats(rows, edges)
 
 
+def suite_checks(spark, sf_dir):
+    """Expectations over the results of keyword search; a case without a query fails its checks."""
+    found = keyword.search(_index(spark, sf_dir), keyword.analyse(spark, ASKED), 10)
+    seen = suites.facts(found, "query_id", {"key": F.col("key"), "terms": F.col("matched_terms"), "exact": F.col("matched_exact_terms"), "score": F.col("score"), "rank": F.col("rank")})
+    rows = [(c, f"{c}-{n}", field, op, expected) for c in ("q1", "q2", "q4", "q6", "q9") for n, (field, op, expected) in enumerate([("terms", "all", ["boot.img", "bootloop"]), ("exact", "contains", ["IMG"]), ("terms", "prefix", ["flash", "lic"]), ("score", "minimum", ["20"]), ("rank", "at_most", ["1"]), ("exact", "absent", ["recovery.img"]), ("key", "equal", None)])]
+    return suites.evaluate(spark.createDataFrame(rows, "case_id string, check_id string, field string, op string, expected array<string>"), seen)
+
+
 def _ranked(spark, sf_dir, k: int = 10):
     """Reranked results of the catalogue's queries, their context, what was asked, and all claims."""
     posts = stored(entities.with_entities(_posts(spark, sf_dir)))
@@ -429,7 +437,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         token_counts, technical_aliases, term_stats, corpus_stats, exact_terms, query_terms, specific_terms, keyword_search, hashed_vectors, blake_vectors, vector_search, hybrid_search,
-        chunks, chunk_search, entity_mentions, relation_edges, graph_nodes, graph_edges, claim_rows, claim_kinds, claim_edges, claim_cross_edges, claim_stats, claim_nodes, merged_nodes, graph_search, graph_hybrid_search, grounding, evidence_chain, answer_labels, conflict_report, conflict_claims, answer_reports, answer_briefs,
+        chunks, chunk_search, entity_mentions, relation_edges, graph_nodes, graph_edges, claim_rows, claim_kinds, claim_edges, claim_cross_edges, claim_stats, suite_checks, claim_nodes, merged_nodes, graph_search, graph_hybrid_search, grounding, evidence_chain, answer_labels, conflict_report, conflict_claims, answer_reports, answer_briefs,
         url_policy, page_titles, page_links, page_texts, page_posts, decoded_pages, discovery_candidates, seed_review, review_state, review_order, link_counts, coverage_summary, refresh_checks, source_upsert, source_errors, crawl_plan, coverage, missing_pages, need_coverage, route_ratio, refresh_audit, latest_receipts, dedupe_latest, source_select, preflight_errors,
     )
 }

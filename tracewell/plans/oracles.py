@@ -84,6 +84,13 @@ top AS (SELECT ranked.*, d.text, list_filter(list_transform(me || mt, lambda x:
 placed AS (SELECT *, list_min(ps) - 1 AS c FROM top)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, key, round(total, 6) AS score, round(bm25, 6) AS bm25, round(exact, 6) AS exact, round(phrase, 6) AS phrase, array_to_string(list_sort(mx), '|') AS specific, {snippet} AS snippet FROM placed"""
 
+    out["suite_checks"] = f"""WITH {base}, {asked_sql}, {scored},
+top AS (SELECT * FROM ranked WHERE rank <= 10),
+cases(c) AS (VALUES ('q1'), ('q2'), ('q4'), ('q6'), ('q9')),
+v AS (SELECT c, coalesce((SELECT list_distinct(flatten(list(mt))) FROM top WHERE query_id = c), []) AS terms, coalesce((SELECT list_distinct(flatten(list(me))) FROM top WHERE query_id = c), []) AS exact, (SELECT max(round(total, 6)) FROM top WHERE query_id = c) AS high, EXISTS (SELECT 1 FROM top WHERE query_id = c AND rank = 1) AS first FROM cases),
+r AS (SELECT c, unnest(range(7)) AS n, unnest(['all', 'contains', 'prefix', 'minimum', 'at_most', 'absent', 'equal']) AS op, unnest([list_has_all(terms, ['boot.img', 'bootloop']), len(list_filter(exact, lambda x: contains(x, 'img'))) > 0, len(list_filter(terms, lambda x: starts_with(x, 'flash') OR starts_with(x, 'lic'))) > 0, coalesce(high >= 20, false), first, NOT list_contains(exact, 'recovery.img'), true]) AS ok FROM v)
+SELECT c AS case_id, c || '-' || n AS check_id, op, ok FROM r"""
+
     feats = lambda src, key, t: f"""(SELECT {key} AS key, 'tok:' || x AS f, 1.0 AS w FROM (SELECT {key}, unnest({t}) AS x FROM {src})
  UNION ALL SELECT {key}, 'tri:' || substr(n, i, 3), 0.3 FROM (SELECT {key}, n, unnest(range(1, length(n) - 1)) AS i FROM (SELECT {key}, translate(unnest({t}), '_-.', '') AS n FROM {src}) WHERE length(n) >= 5)
  UNION ALL SELECT {key}, 'quad:' || substr(n, i, 4), 0.45 FROM (SELECT {key}, n, unnest(range(1, length(n) - 2)) AS i FROM (SELECT {key}, translate(unnest({t}), '_-.', '') AS n FROM {src}) WHERE length(n) >= 7))"""
