@@ -31,7 +31,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracewell.llm.spark_util import components, cut, unused
@@ -39,7 +38,7 @@ from tracewell.llm.spark_util import components, cut, unused
 WORDS, PERCENT, FREQUENT = 5, 80, 128
 BANDS, BAND_ROWS, STARS = 16, 3, 3
 _LARGEST = (1 << 63) - 1
-_FLUSH_TOKENS, _FLUSH_SETS = 6_000_000, 60_000
+_FLUSH_TOKENS, _FLUSH_SETS = 3_000_000, 60_000
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 _M1, _M2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -314,7 +313,7 @@ def without_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     Rows without shingles stay. What goes is known by (id, hash of the text), so rows that share an id are told apart; of rows that are the same in
     both, one stays.
     """
-    row, content, kept = (unused(n, docs.columns) for n in ("_row", "_content", "_kept"))
+    row, content = (unused(n, docs.columns) for n in ("_row", "_content"))
     keyed = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LARGEST)).alias("doc_id"), F.xxhash64("text").alias("content"))
     rows = cut(document_sets(keyed, words, "content"))
     found = components(cut(links(docs, rows.count(), words, percent, frequent))).select(F.col("id").alias("node"), "component")
@@ -323,8 +322,10 @@ def without_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     places = cut(places.select("component", "doc_id", "content", "copies"))
     best = places.groupBy("component").agg(F.min(F.struct("doc_id", "content")).alias("best"))
     marked = places.join(best, "component").withColumn("kept", (F.col("best.doc_id") == F.col("doc_id")) & (F.col("best.content") == F.col("content")))
-    marked = marked.where("NOT kept OR copies > 1").select(F.col("doc_id").alias(row), F.col("content").alias(content), F.col("kept").alias(kept))
-    given = docs.withColumns({row: F.coalesce(F.col("doc_id").cast("long"), F.lit(_LARGEST)), content: F.xxhash64("text")}).join(marked, [row, content], "left")
-    place = unused("_place", docs.columns)
-    given = given.withColumn(place, F.row_number().over(W.partitionBy(row, content).orderBy(row)))
-    return given.where(F.col(kept).isNull() | (F.col(kept) & (F.col(place) == 1))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = cut(marked.where("NOT kept OR copies > 1").select(F.col("doc_id").alias(row), F.col("content").alias(content), "kept"))
+    given = docs.withColumns({row: F.coalesce(F.col("doc_id").cast("long"), F.lit(_LARGEST)), content: F.xxhash64("text")})
+    out = given.join(marked.drop("kept"), [row, content], "left_anti")
+    again = marked.where("kept").drop("kept")
+    if not again.isEmpty():  # kept rows that are there more than once
+        out = out.unionByName(given.join(again, [row, content], "left_semi").dropDuplicates([row, content]))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
