@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tracewell.llm.spark_util import cut, join_by_count, unused
+from tracewell.llm.spark_util import cut, join_by_count, trim, unused
 
 LEAD, SHORT, WIDE, PARTS, RECURS = 3, 5, 10, 4, 3
 _DIGITS = b"0123456789"
@@ -81,6 +81,7 @@ def parsed_lines(docs: DataFrame) -> DataFrame:
                             c.append(v)
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        trim()
 
     given = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LARGEST)).alias("doc_id"), "text", F.xxhash64("text").alias("content"))
     return given.mapInArrow(run, "doc_id long, content long, line int, words int, doc_words int, leaf long, keys array<long>")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.spark_util import components, cut, unused
+from tracewell.llm.spark_util import components, cut, trim, unused
 
 WORDS, PERCENT, FREQUENT = 5, 80, 128
 BANDS, BAND_ROWS, STARS = 16, 3, 3
@@ -136,6 +136,8 @@ def _packed(docs: DataFrame, bits: int, words: int) -> DataFrame:
                         yield from flush(sets)
                         sets, held = {}, 0
         yield from flush(sets)
+        del sets
+        trim()
 
     return docs.select("text").mapInArrow(run, "bucket int, hi binary, lo binary, at binary, nodes binary, sizes binary")
 

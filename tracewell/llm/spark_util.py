@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,13 @@ def join_by_count(left: DataFrame, right: DataFrame, key: str, count: str, share
     return _split_join(left, right, key, hot)
 
 
+def trim() -> None:
+    """Gives what was freed back to the machine, where its C library can: Python workers go on after a stage, and others need the room."""
+    pa.default_memory_pool().release_unused()
+    if (give_back := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        give_back(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
