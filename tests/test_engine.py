@@ -75,7 +75,11 @@ def test_relations_and_claims(spark):
     got = rows.collect()
     assert {r["claim_kind"] for r in got} == {"method", "warning", "status"}
     assert [r["profile_window"] for r in got].count("latest_window") == 1
-    kinds = {r["kind"] for r in claims.cross_edges(claims.claims(posts)).collect()}
+    made = claims.cross_edges(claims.claims(posts))
+    kinds = {r["kind"] for r in made.collect()}
+    key = ["kind", "confidence", "manual_review_required"]
+    counted = claims.cross_edge_counts(claims.claims(posts)).groupBy("claim_id", *key).agg(F.sum("edges").alias("n"))
+    assert {tuple(r) for r in counted.collect()} == {tuple(r) for r in made.groupBy(F.col("from_node").alias("claim_id"), *key).agg(F.count("*").alias("n")).collect()}
     assert {"claim_supersedes_claim", "claim_contradicts_claim", "claim_contextualizes_claim", "claim_deprecated_for_context"} <= kinds
 
 
