@@ -115,7 +115,7 @@ pairs AS (SELECT DISTINCT a.claim_id AS a, b.claim_id AS b, a.url AS a_url, b.ur
 xe AS ({" UNION ALL ".join([edge("contextualizes_claim", "a", "b", 0.55, "false", "against"), edge("contradicts_claim", "a", "b", 0.52, "true", "against AND strong"), edge("deprecated_for_context", "b", "a", 0.5, "true", "against AND strong"), edge("supersedes_claim", "a", "b", 0.5, "true", "newer"), edge("contextualizes_claim", "a", "b", 0.5, "true", "newer AND NOT against")])})"""
 
 
-def rank_ctes(relation_pairs: str) -> str:
+def rank_ctes(relation_pairs: str, most: int = 10) -> str:
     """CTEs that go on from keyword search: found, ctx (relations of results), rr (reranked), gr (grounded), ch (the chain)."""
     plain = lambda c: f"translate(lower({c}), '_-', '  ')"
     said = plain("CASE WHEN regexp_matches(kind, '_(uses_tool|targets_file|targets_object|mentions_firmware)$') THEN t ELSE concat_ws(' ', kind, f, t) END")
@@ -127,7 +127,7 @@ def rank_ctes(relation_pairs: str) -> str:
     clause = lambda name, c: f"CASE WHEN len({c}) > 0 THEN '{name}: ' || array_to_string({c}, '; ') || '.' END"
     return f"""ed AS (SELECT url, kind, f, t, confidence FROM ce UNION ALL SELECT a_url, kind, f, t, confidence FROM xe UNION ALL SELECT b_url, kind, f, t, confidence FROM xe
  UNION ALL SELECT p.url, r.kind, from_node, to_node, confidence FROM (SELECT DISTINCT * FROM ({relation_pairs})) r JOIN p ON p.key = r.post_id),
-found AS (SELECT ranked.*, url FROM ranked JOIN p USING (key) WHERE rank <= 10),
+found AS (SELECT ranked.*, url FROM ranked JOIN p USING (key) WHERE rank <= {most}),
 ctx AS (SELECT query_id, found.key, kind, f, t, ed.confidence FROM found JOIN ed USING (url) WHERE {near}),
 vals AS (SELECT query_id, list(DISTINCT v) AS vs FROM (SELECT query_id, {plain("x")} AS v FROM (SELECT query_id, term AS x FROM qe UNION ALL SELECT query_id, term FROM sp UNION ALL SELECT query_id, unnest(r) FROM q) UNION ALL SELECT query_id, {plain("term")} FROM qt WHERE {plain("term")} IN {_in(G.PLAIN_TERMS)}) WHERE length(v) >= 3 GROUP BY query_id),
 it AS (SELECT query_id, list_has_any(t, {_list(G.ROOT_TERMS)}) AS root, list_has_any(t, {_list(G.RECOVERY_TERMS)}) AS recovery, coalesce(vs, []) AS vs, {content("t")} AS content, list_has_any(t, {_list(A.WARNING_WORDS)}) AS warning_requested FROM q LEFT JOIN vals USING (query_id)),
@@ -152,7 +152,7 @@ texts AS (SELECT ch.*, d.text AS own_text, list_filter(list_transform(me || mt,
 answered AS (SELECT texts.* EXCLUDE (text), coalesce(nullif(said, ''), trim(snippet)) AS answer_text FROM (SELECT *, {SNIPPET} AS snippet FROM (SELECT *, own_text AS text, list_min(ps) - 1 AS c FROM texts)) texts)"""
 
 
-def build(entity_base: str, relation_pairs: str, keyword: str, R) -> dict[str, str]:
+def build(entity_base: str, relation_pairs: str, keyword: str, dots: str, R) -> dict[str, str]:
     claims = claim_ctes(entity_base, R)
     edges = _edges(R)
     joined = ", ".join(f"array_to_string({c}, '|') AS {n}" for c, n in (("targets", "target_labels"), ("tools", "tool_labels"), ("condition", "condition_labels"), ("context", "applicability_context"), ("risks", "risk_labels"), ("warnings", "warning_labels")))
@@ -185,6 +185,11 @@ rp AS (SELECT *, CASE WHEN steps = 0 THEN 'not_enough_local_evidence' WHEN confl
 SELECT a.*, b.*, d.* FROM (SELECT count(*) AS claim_count, count(*) FILTER (claim_kind = 'method') AS method_count, count(*) FILTER (claim_kind = 'warning') AS warning_count, count(*) FILTER (manual) AS manual_review_candidate_count, count(*) FILTER (confidence >= 0.7) AS high, count(*) FILTER (confidence >= 0.5 AND confidence < 0.7) AS medium, count(*) FILTER (confidence < 0.5) AS low FROM c) a,
 (SELECT count(DISTINCT x) AS applicability_context_count FROM (SELECT unnest(context) AS x FROM c)) b, (SELECT {", ".join(map(count, ("supersedes", "contradicts", "contextualizes")))}, count(*) FILTER (kind IN ('source_warns_about_claim', 'warning_targets_object', 'warning_targets_action')) AS warning_relation_count FROM k) d""",
         "graph_search": f"{ranked} SELECT query_id, CAST(graph_rank AS INTEGER) AS graph_rank, CAST(rank AS INTEGER) AS rank, key, score, mc AS matching_edge_count, mk AS matching_kinds, CAST(mf AS DOUBLE) AS matching_confidence, CAST(graph_raw AS DOUBLE) AS graph_raw FROM rr",
+        "graph_hybrid_search": f"""WITH {keyword}, {dots}, {claims}, {edges}, {rank_ctes(relation_pairs.replace("FROM e a JOIN e b", "FROM ent a JOIN ent b"), 80)},
+hb AS (SELECT coalesce(k.query_id, x.query_id) AS query_id, coalesce(k.key, x.key) AS key, coalesce(k.score, 0) AS kr, coalesce(x.score, 0) AS vs, coalesce(k.graph_raw, 0) AS gw, k.graph_rank AS keyword_rank, x.rank AS vector_rank FROM rr k FULL JOIN (SELECT * FROM vr WHERE rank <= 80) x ON k.query_id = x.query_id AND k.key = x.key),
+hs AS (SELECT *, coalesce(gw / nullif(max(gw) OVER w, 0), 0) AS gn, round(0.65 * coalesce(kr / nullif(max(kr) OVER w, 0), 0) + 0.35 * coalesce(vs / nullif(max(vs) OVER w, 0), 0) + 0.85 * coalesce(gw / nullif(max(gw) OVER w, 0), 0), 6) AS score FROM hb WINDOW w AS (PARTITION BY query_id)),
+hr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, round(gn, 6) DESC, coalesce(keyword_rank, 999999), coalesce(vector_rank, 999999), kr DESC, vs DESC, key) AS place FROM hs)
+SELECT query_id, CAST(place AS INTEGER) AS rank, key, score, CAST(keyword_rank AS INTEGER) AS keyword_rank, CAST(vector_rank AS INTEGER) AS vector_rank, CAST(round(gn, 6) AS DOUBLE) AS graph_normalized FROM hr WHERE place <= 10""",
         "grounding": f"{ranked} SELECT query_id, CAST(graph_rank AS INTEGER) AS graph_rank, key, CAST(matched_count AS INTEGER) AS matched_count, CAST(unmatched_structured AS INTEGER) AS unmatched_structured, relation_supported, warning_requested, warning_supported, grounded FROM gr",
         "evidence_chain": f"{ranked} SELECT query_id, CAST(step AS INTEGER) AS step, key AS post_id, role, answer_kind, array_to_string(kinds, '|') AS relation_kinds FROM ch",
         "conflict_report": f"{per_query} SELECT query_id, answer_status, conflict_status, cited, gap_reason FROM cr",

@@ -112,7 +112,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, key, score, CAST(keyword_rank AS
 
     found, entity_base, relations = _entity_sql(rules)
     out |= found
-    out |= claim_oracles.build(entity_base, relations, f"{base}, {asked_sql}, {scored}", rules)
+    out |= claim_oracles.build(entity_base, relations, f"{base}, {asked_sql}, {scored}", dots, rules)
     out |= _page_sql()
     return out
 
