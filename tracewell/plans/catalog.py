@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import rules as R
 from tracewell.functions import text as T
-from tracewell.operators import answers, audits, claims, corpus, entities, keyword, policy, registry, retrieval, suites, vectors
+from tracewell.operators import answers, audits, claims, corpus, entities, keyword, policy, readiness as readiness_ops, registry, retrieval, suites, vectors
 from tracewell.operators.stages import once, spread, stored
 from tracewell.sources import pages as sources
 from tracewell.sources import posts
@@ -412,6 +412,43 @@ def refresh_audit(spark, sf_dir):
     return audits.refresh(receipts, receipts.agg(F.max("at").alias("now")), 168.0)
 
 
+def _audited(spark, sf_dir):
+    """Runs made of the events: receipts, pages, needs and a profile."""
+    e = _table(spark, sf_dir, "events").withColumn("n", F.col("user_id") % 50)
+    stage = F.element_at(F.array(*map(F.lit, readiness_ops.STAGES)), (F.when(F.col("n") == 49, F.col("event_id") % 4 + 1).otherwise(F.col("event_id") % 5) + 1).cast("int"))
+    run = F.when(F.col("n") % 2 == 0, F.lit("run")).otherwise(F.concat(F.lit("run"), (F.col("event_id") % 2).cast("string")))
+    chain = F.concat(F.lit("c"), F.col("n").cast("string")).alias("chain")
+    flags = [(F.col("event_id") % k == 0).alias(c) for c, k in (("network_touched", 11), ("internal_search", 17), ("attachments", 19))]
+    receipts = e.select(chain, stage.alias("stage"), F.col("event_id").alias("receipt_id"), run.alias("run_id"), F.when(F.col("n") % 10 == 3, "p2").otherwise("p1").alias("profile_id"), F.col("ts").cast("timestamp").alias("at"), (F.col("event_id") % 7 == 0).cast("int").alias("errors"), (F.col("event_id") % 13 != 0).alias("public_only"), *flags, (F.col("event_id") % 30).alias("items"))
+    pages = e.select(chain, F.concat(F.lit("s"), (F.when(F.col("n") == 7, 99).otherwise(F.col("event_id") % 8)).cast("string")).alias("seed_id"), (F.floor(F.col("event_id") / 8) % 5 * 20).cast("string").alias("page_start"))
+    wanted = spark.createDataFrame([("n1", ["f0"], ["a"], True, True, True), ("n2", ["f9"], ["a"], True, False, False), ("n3", ["f0", "f1"], [], False, True, True), ("n4", ["f1"], ["a", "z"], None, None, False), ("n5", ["f3"], ["b"], None, True, None)], "need_id string, seed_focus_any array<string>, eval_cases array<string>, eval_required boolean, for_ready boolean, for_deep boolean")
+    cases = spark.createDataFrame([("a",), ("b",)], "case_id string")
+    profile = {"profile_id": "p1", "information_need_matrix": "needs.json", **{k: f"{k}.json" for k in readiness_ops.SUITES}}
+    suites = spark.createDataFrame([(f"{k}.json",) for k in readiness_ops.SUITES], "path string")
+    needs = readiness_ops.need_states(wanted, _seeds(spark), pages, cases, receipts)
+    checks = readiness_ops.coverage_checks(receipts, pages, policy.crawl_plan(_seeds(spark), 8), _seeds(spark), suites, readiness_ops.need_summary(needs), profile)
+    return receipts, needs, checks
+
+
+def need_states(spark, sf_dir):
+    return _audited(spark, sf_dir)[1]
+
+
+def coverage_checks(spark, sf_dir):
+    return _audited(spark, sf_dir)[2]
+
+
+def refresh_states(spark, sf_dir):
+    receipts, _, checks = _audited(spark, sf_dir)
+    return readiness_ops.refresh_states(readiness_ops.refresh_checks(receipts, receipts.agg(F.max("at").alias("now")), readiness_ops.coverage_states(checks)))
+
+
+def readiness(spark, sf_dir):
+    _, needs, checks = _audited(spark, sf_dir)
+    found = readiness_ops.criteria(checks, readiness_ops.coverage_states(checks), readiness_ops.need_summary(needs), spark.createDataFrame([("reviewed",)], "status string"))
+    return readiness_ops.readiness(found)
+
+
 def latest_receipts(spark, sf_dir):
     return audits.latest_receipts(_receipts(spark, sf_dir)).select("stage", "run_id", "event_id")
 
@@ -438,7 +475,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         token_counts, technical_aliases, term_stats, corpus_stats, exact_terms, query_terms, specific_terms, keyword_search, hashed_vectors, blake_vectors, vector_search, hybrid_search,
         chunks, chunk_search, entity_mentions, relation_edges, graph_nodes, graph_edges, claim_rows, claim_kinds, claim_edges, claim_cross_edges, claim_stats, suite_checks, claim_nodes, merged_nodes, graph_search, graph_hybrid_search, grounding, evidence_chain, answer_labels, conflict_report, conflict_claims, answer_reports, answer_briefs,
-        url_policy, page_titles, page_links, page_texts, page_posts, decoded_pages, discovery_candidates, seed_review, review_state, review_order, link_counts, coverage_summary, refresh_checks, source_upsert, source_errors, crawl_plan, coverage, missing_pages, need_coverage, route_ratio, refresh_audit, latest_receipts, dedupe_latest, source_select, preflight_errors,
+        url_policy, page_titles, page_links, page_texts, page_posts, decoded_pages, discovery_candidates, seed_review, review_state, review_order, link_counts, coverage_summary, refresh_checks, source_upsert, source_errors, crawl_plan, coverage, missing_pages, need_coverage, route_ratio, refresh_audit, need_states, coverage_checks, refresh_states, readiness, latest_receipts, dedupe_latest, source_select, preflight_errors,
     )
 }
 

@@ -158,6 +158,34 @@ UNION ALL SELECT 'post_mentions_entity', 0.6, count(*), count(DISTINCT key || '>
     return found, base, ' UNION ALL '.join(pairs)
 
 
+def _run_sql(seeds: str, plan: str) -> dict[str, str]:
+    """SQL of the audits of runs; plan holds the seeds too."""
+    base = f"""{plan}, ev AS (SELECT *, user_id % 50 AS n, 'c' || CAST(user_id % 50 AS VARCHAR) AS chain FROM events),
+rc AS (SELECT chain, ['crawl', 'normalize', 'index', 'vector', 'graph'][CASE WHEN n = 49 THEN event_id % 4 + 2 ELSE event_id % 5 + 1 END] AS stage, event_id AS receipt_id, CASE WHEN n % 2 = 0 THEN 'run' ELSE 'run' || CAST(event_id % 2 AS VARCHAR) END AS run_id, CASE WHEN n % 10 = 3 THEN 'p2' ELSE 'p1' END AS profile_id, ts AS t_at, event_id % 7 = 0 AS failed, event_id % 13 <> 0 AND event_id % 17 <> 0 AND event_id % 19 <> 0 AS kept, event_id % 11 = 0 AS touched, event_id % 30 AS items FROM ev),
+nw AS (SELECT * FROM rc QUALIFY row_number() OVER (PARTITION BY chain, stage ORDER BY t_at DESC, receipt_id DESC) = 1),
+w AS (SELECT chain, count(*) = 5 AS whole, count(*) FILTER (stage <> 'crawl') = 4 AS derived, bool_or(stage = 'crawl') AS crawled, count(DISTINCT run_id) AS runs, count(*) FILTER (stage <> 'normalize' AND profile_id = 'p1') AS own, bool_or(kept) FILTER (stage = 'crawl') AS kept, bool_or(failed) FILTER (stage = 'crawl') AS failed, bool_or(touched) FILTER (stage <> 'crawl') AS touched,
+ max(t_at) FILTER (stage = 'crawl') AS c, max(t_at) FILTER (stage = 'normalize') AS n, max(t_at) FILTER (stage = 'index') AS i, max(t_at) FILTER (stage = 'vector') AS v, max(t_at) FILTER (stage = 'graph') AS g,
+ max(items) FILTER (stage = 'normalize') AS n_items, max(items) FILTER (stage = 'index') AS i_items, max(items) FILTER (stage = 'vector') AS v_items, max(items) FILTER (stage = 'graph') AS g_items FROM nw GROUP BY chain),
+pg AS (SELECT DISTINCT chain, 's' || CAST(CASE WHEN n = 7 THEN 99 ELSE event_id % 8 END AS VARCHAR) AS seed_id, CAST(event_id // 8 % 5 * 20 AS VARCHAR) AS page_start FROM ev),
+got AS (SELECT chain, count(*) AS fetched, count(*) FILTER (EXISTS (SELECT 1 FROM plan WHERE plan.seed_id = pg.seed_id AND plan.page_start = pg.page_start)) AS hit FROM pg GROUP BY chain),
+nd(need_id, focus, cases, required, for_ready, for_deep) AS (VALUES ('n1', ['f0'], ['a'], true, true, true), ('n2', ['f9'], ['a'], true, false, false), ('n3', ['f0', 'f1'], [], false, true, true), ('n4', ['f1'], ['a', 'z'], true, false, false), ('n5', ['f3'], ['b'], true, true, true)),
+ns AS (SELECT chain, need_id, for_ready, for_deep, CASE WHEN NOT EXISTS (SELECT 1 FROM seeds s WHERE list_contains(nd.focus, s.focus)) THEN 'missing_seed_focus' WHEN NOT EXISTS (SELECT 1 FROM pg JOIN seeds s USING (seed_id) WHERE pg.chain = w.chain AND list_contains(nd.focus, s.focus)) THEN 'unmaterialized' WHEN required AND (len(cases) = 0 OR len(list_filter(cases, lambda z: z NOT IN ('a', 'b'))) > 0) THEN 'missing_eval_route' ELSE 'covered' END AS status FROM w, nd),
+dc AS (SELECT chain, bool_and(status = 'covered') FILTER (for_deep) AS deep FROM ns GROUP BY chain),
+j AS (SELECT w.*, coalesce(fetched, 0) AS fetched, coalesce(hit, 0) AS hit, (SELECT count(*) FROM (SELECT DISTINCT seed_id, page_start FROM plan)) AS expected, deep FROM w LEFT JOIN got USING (chain) JOIN dc USING (chain)),
+ck AS (SELECT chain, crawled, unnest(['profile_exists', 'seed_file_exists', 'seed_urls_allowed_public_topics', 'receipt_chain_present', 'receipts_share_run', 'receipt_profile_matches', 'crawl_policy_preserved', 'derived_stages_network_free', 'all_expected_seed_pages_fetched', 'normalized_pages_cover_fetched_pages', 'index_has_docs', 'vector_has_docs', 'graph_has_edges', 'quality_gate_suites_present', 'information_need_matrix_present', 'deep_information_needs_covered']) AS check,
+ unnest([true, true, true, whole, whole AND runs = 1, own = 4, coalesce(kept, false), derived AND NOT touched, expected > 0 AND hit = expected, fetched > 0 AND coalesce(n_items, 0) >= fetched, coalesce(i_items > 0, false), coalesce(v_items > 0, false), coalesce(g_items > 0, false), true, true, deep]) AS ok FROM j),
+st AS (SELECT chain, CASE WHEN NOT bool_or(crawled) THEN 'no_run' WHEN bool_and(ok) THEN 'coverage_ready' ELSE 'partial' END AS status FROM ck GROUP BY chain)"""
+    return {
+        "need_states": f"WITH {base} SELECT * FROM ns",
+        "coverage_checks": f'WITH {base} SELECT chain, crawled, "check", ok FROM ck',
+        "refresh_states": f"""WITH {base}, f AS (SELECT chain, crawled, [whole, c IS NOT NULL, coalesce(round(greatest(0, (SELECT epoch_us(max(t_at)) FROM rc) - epoch_us(c)) / 3600e6, 2) <= 168, false), coalesce(NOT failed, false), coalesce(kept, false), derived AND NOT touched, derived, coalesce(n >= c AND i >= n AND v >= n AND g >= n, false), st.status = 'coverage_ready'] AS oks FROM w JOIN st USING (chain))
+SELECT chain, len(list_filter(oks, lambda x: NOT x)) AS failed, CASE WHEN NOT crawled THEN 'missing_run' WHEN len(list_filter(oks, lambda x: NOT x)) = 0 THEN 'fresh' ELSE 'needs_refresh' END AS status FROM f""",
+        "readiness": f"""WITH {base}, x AS (SELECT j.chain, ['achieved', CASE WHEN st.status = 'coverage_ready' THEN 'achieved' ELSE 'partial' END, CASE WHEN deep THEN 'achieved' ELSE 'partial' END, CASE WHEN whole AND runs = 1 AND kept AND NOT touched AND i_items > 0 AND v_items > 0 AND g_items > 0 THEN 'achieved' ELSE 'partial' END] AS g FROM j JOIN st USING (chain)),
+y AS (SELECT chain, len(list_filter(g, lambda z: z = 'achieved')) AS achieved, len(list_filter(g, lambda z: z = 'partial')) AS partial, 0::BIGINT AS missing FROM x)
+SELECT *, CASE WHEN partial = 0 THEN 'ready' ELSE 'not_ready' END AS status FROM y""",
+    }
+
+
 def _page_sql() -> dict[str, str]:
     urls = """u AS (SELECT page_id, url FROM pages UNION ALL SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'http://' ELSE 'https://' END || CASE WHEN page_id % 5 = 0 THEN 'www.forum.example.org' ELSE 'forum.example.org' END || '/index.php?showtopic=' || CAST(page_id % 50 AS VARCHAR) || CASE page_id % 6 WHEN 0 THEN '&act=search' WHEN 1 THEN '&st=' WHEN 2 THEN '#entry5' ELSE '&st=' || CAST(page_id % 3 * 20 AS VARCHAR) END FROM pages),
 p AS (SELECT *, regexp_extract(url, '^([a-z]+)://([^/?#]*)([^?#]*)', 1) AS scheme, regexp_extract(url, '^([a-z]+)://([^/?#]*)([^?#]*)', 2) AS host, regexp_extract(url, '^([a-z]+)://([^/?#]*)([^?#]*)', 3) AS path, regexp_extract(url, '\\?([^#]*)', 1) AS query FROM u),
@@ -219,6 +247,7 @@ n AS (SELECT ref, kind, max(c_custkey) AS k, arg_max(c_name, c_custkey) AS name,
 b AS (SELECT coalesce(n.ref, o.ref) AS ref, coalesce(n.kind, o.kind) AS kind, o.title AS old_title, o.ref IS NOT NULL AS was, n.ref IS NOT NULL AS is_new, k, name, segment FROM o FULL JOIN n ON o.ref = n.ref AND o.kind = n.kind)
 SELECT 'src-' || substr(sha256(kind || ':' || lower(ref)), 1, 16) AS source_id, ref AS source_ref, kind, 'public' AS access, coalesce(CASE WHEN is_new AND k % 2 = 0 THEN name END, old_title, ref) AS title, CASE WHEN was THEN 's' ELSE 'operator_selected_' || kind END AS scope,
  CASE WHEN is_new AND k % 3 = 0 THEN replace(lower(trim(segment)), ' ', '-') || '|two-words' WHEN was THEN 'kept' ELSE '' END AS tags, CASE WHEN is_new AND k % 4 = 0 THEN 0.75::DOUBLE WHEN was THEN 0.5 END AS trust_score, true AS enabled, 'none' AS include_media, CASE WHEN was THEN '2025-01-01' ELSE '2026-01-08T00:00:00Z' END AS created_at, CASE WHEN is_new THEN '2026-01-08T00:00:00Z' ELSE '2025-01-01' END AS updated_at, CASE WHEN is_new AND was THEN 'updated' WHEN is_new THEN 'created' ELSE 'kept' END AS change FROM b""",
+        **_run_sql(seeds, plan),
         "latest_receipts": f"WITH {receipts} SELECT stage, run_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY t_at DESC, run_id DESC) AS n FROM r) WHERE n = 1",
         "dedupe_latest": "SELECT conv_id, role, turn, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn DESC, text) AS n FROM conversations) WHERE n = 1",
         "source_select": f"WITH {srcs} SELECT source_id, source_ref, 'src-' || substr(sha256(kind || ':' || lower(source_ref)), 1, 16) AS stable_id FROM s WHERE enabled AND kind = 'topic' AND i % 3 IN (1, 2)",
