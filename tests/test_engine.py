@@ -111,3 +111,15 @@ def test_answers_are_grounded_and_conflicts_found(spark):
     first = chain.where("query_id = 'a' AND step = 1").first()
     assert first["role"] == "primary" and first["answer_kind"].startswith("issue_fix")
     assert not [r for r in entries.where("query_id = 'c' AND key = '2'").collect() if r["grounded"]]
+
+
+def test_weights_that_cancel_out_give_no_bucket(spark):
+    rows = spark.createDataFrame([("a", ["abcdefg", "abcdefg", "abcdefg"])], "key string, tokens array<string>")
+    found = {r["bucket"]: r["w"] for r in vectors.vectors(rows, "key", dimensions=2).collect()}
+    whole = {}
+    for weight, names in ((20, ["tok:abcdefg"]), (6, ["tri:" + "abcdefg"[i : i + 3] for i in range(5)]), (9, ["quad:" + "abcdefg"[i : i + 4] for i in range(4)])):
+        for n in names:
+            h = vectors._number(n, "md5")
+            whole[h % 2] = whole.get(h % 2, 0) + 3 * weight * (1 if h % 2 else -1)
+    norm = sum(v * v for v in whole.values()) ** 0.5
+    assert found == {b: round(v / norm, 6) for b, v in whole.items() if v}

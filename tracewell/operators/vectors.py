@@ -60,7 +60,7 @@ def vectors(rows: DataFrame, key: str, tokens: str = "tokens", dimensions: int =
                         found.append((got[0], got[1] * n))
                     if found:
                         sums = np.bincount(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), 3 * dimensions).reshape(3, dimensions)
-                        w = sums[0] + 0.3 * sums[1] + 0.45 * sums[2]
+                        w = (20 * sums[0] + 6 * sums[1] + 9 * sums[2]) / 20  # whole numbers until here, so weights of 1, 0.3 and 0.45 cancel out
                         used = np.flatnonzero(w)
                         place += [i] * len(used)
                         bucket.append(used)
