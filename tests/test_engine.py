@@ -123,3 +123,13 @@ def test_weights_that_cancel_out_give_no_bucket(spark):
             whole[h % 2] = whole.get(h % 2, 0) + 3 * weight * (1 if h % 2 else -1)
     norm = sum(v * v for v in whole.values()) ** 0.5
     assert found == {b: round(v / norm, 6) for b, v in whole.items() if v}
+
+
+def test_chunks_of_a_batch_are_handed_on_in_pieces(spark, monkeypatch):
+    posts = _posts(spark, *["word number one. " * 200] * 6).coalesce(1)
+    whole = sorted(map(tuple, corpus.chunks(posts).collect()))
+    monkeypatch.setattr(corpus, "PIECE", 3000)
+    sizes = []
+    monkeypatch.setattr(type(posts), "mapInArrow", lambda df, run, schema: sizes.extend(b.num_rows for b in run(df.toArrow().to_batches())) or df.select(F.lit("a").alias("topic_id"), F.lit("b").alias("post_id"), F.lit(0).alias("chunk_index")))
+    corpus.chunks(posts)
+    assert sum(sizes) == len(whole) and max(sizes) <= len(whole) // 6
