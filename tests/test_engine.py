@@ -133,3 +133,10 @@ def test_chunks_of_a_batch_are_handed_on_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(type(posts), "mapInArrow", lambda df, run, schema: sizes.extend(b.num_rows for b in run(df.toArrow().to_batches())) or df.select(F.lit("a").alias("topic_id"), F.lit("b").alias("post_id"), F.lit(0).alias("chunk_index")))
     corpus.chunks(posts)
     assert sum(sizes) == len(whole) and max(sizes) <= len(whole) // 6
+
+
+def test_search_of_tokens_is_that_of_stored_vectors(spark):
+    index = keyword.build(_posts(spark, "bootloop restore boot.img", "restore it", "", "tea", None))
+    q = keyword.analyse(spark, [("a", "bootloop boot.img"), ("b", "restore tea"), ("c", "")])
+    stored = vectors.search(vectors.vectors(index.docs, "key"), index.docs, q)
+    assert sorted(map(tuple, vectors.search_tokens(index.docs, q).collect())) == sorted(map(tuple, stored.collect()))

@@ -36,6 +36,31 @@ def _token_counts(token: str, dimensions: int, family: str) -> tuple[np.ndarray,
     return np.array([k * dimensions + n % dimensions for (k, _), n in zip(names, numbers)]), np.array([1 if n % 2 else -1 for n in numbers])
 
 
+def _weights(batches: Iterator[pa.RecordBatch], column: int, dimensions: int, family: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Some rows at a time: those, and of the unit vectors of the tokens in one of their columns the rows' places, buckets and weights."""
+    hashed: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    for b in batches:
+        for at in range(0, b.num_rows, 512):
+            part = b.slice(at, 512)
+            place, bucket, weight = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+            for i, toks in enumerate(part.column(column)):
+                found = []
+                for t, n in Counter(toks.as_py() or ()).items():
+                    if (got := hashed.get(t)) is None:
+                        got = _token_counts(t, dimensions, family)
+                        if len(hashed) < KEPT:
+                            hashed[t] = got
+                    found.append((got[0], got[1] * n))
+                if found:
+                    sums = np.bincount(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), 3 * dimensions).reshape(3, dimensions)
+                    w = (20 * sums[0] + 6 * sums[1] + 9 * sums[2]) / 20  # whole numbers until here, so weights of 1, 0.3 and 0.45 cancel out
+                    used = np.flatnonzero(w)
+                    place.append(np.full(len(used), i))
+                    bucket.append(used)
+                    weight.append(w[used] / (np.sqrt((w * w).sum()) or 1.0))
+            yield part, np.concatenate(place), np.concatenate(bucket), np.concatenate(weight)
+
+
 def vectors(rows: DataFrame, key: str, tokens: str = "tokens", dimensions: int = DIMENSIONS, family: str = "md5") -> DataFrame:
     """(key, bucket, w): the sparse unit vector of each row's tokens, weights rounded to 6 places.
 
@@ -45,34 +70,40 @@ def vectors(rows: DataFrame, key: str, tokens: str = "tokens", dimensions: int =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                place, bucket, weight = [], [], []
-                for i, toks in enumerate(part.column(1).to_pylist()):
-                    found = []
-                    for t, n in Counter(toks or ()).items():
-                        if (got := hashed.get(t)) is None:
-                            got = _token_counts(t, dimensions, family)
-                            if len(hashed) < KEPT:
-                                hashed[t] = got
-                        found.append((got[0], got[1] * n))
-                    if found:
-                        sums = np.bincount(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), 3 * dimensions).reshape(3, dimensions)
-                        w = (20 * sums[0] + 6 * sums[1] + 9 * sums[2]) / 20  # whole numbers until here, so weights of 1, 0.3 and 0.45 cancel out
-                        used = np.flatnonzero(w)
-                        place += [i] * len(used)
-                        bucket.append(used)
-                        weight.append(w[used] / (np.sqrt((w * w).sum()) or 1.0))
-                taken = part.column(0).take(pa.array(place, pa.int64()))
-                yield pa.RecordBatch.from_arrays([taken, pa.array(np.concatenate([*bucket, np.zeros(0)]).astype(np.int32)), pa.array(np.concatenate([*weight, np.zeros(0)]))], names=["key", "bucket", "w"])
+        for b, place, bucket, weight in _weights(batches, 1, dimensions, family):
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(place, pa.int64())), pa.array(bucket.astype(np.int32)), pa.array(weight)], names=["key", "bucket", "w"])
 
     kind = rows.schema[key].dataType.simpleString()
     found = rows.select(F.col(key).alias("key"), F.col(tokens)).mapInArrow(run, f"key {kind}, bucket int, w double")
     return found.withColumn("w", F.round("w", 6)).where("w <> 0")
 
 
+def search_tokens(docs: DataFrame, analysed: DataFrame, k: int = 5, dimensions: int = DIMENSIONS, family: str = "md5") -> DataFrame:
+    """search over the vectors of docs(key, ord, tokens) that aren't stored: each is multiplied with all queries' where it is made, and only its products leave the worker.
+
+    The queries, some rows, are gathered: a matrix of their number times the dimensions.
+    """
+    asked = vectors(analysed, "query_id", "terms", dimensions, family).collect()
+    names = sorted({r["key"] for r in asked})
+    matrix = np.zeros((dimensions, len(names)))
+    for r in asked:
+        matrix[r["bucket"], names.index(r["key"])] = r["w"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, place, bucket, weight in _weights(batches, 2, dimensions, family):
+            w = np.zeros((b.num_rows, dimensions))
+            w[place, bucket] = np.copysign(np.floor(np.abs(weight) * 1e6 + 0.5), weight) / 1e6
+            dots = w @ matrix
+            row, query = np.nonzero(dots > 0)
+            row = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, object)[query], pa.string()), b.column(0).take(row), b.column(1).take(row), pa.array(dots[row, query])], names=["query_id", "key", "ord", "dot"])
+
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("key", "ord")}
+    dots = docs.select("key", "ord", "tokens").mapInArrow(run, f"query_id string, key {kinds['key']}, ord {kinds['ord']}, dot double").withColumn("dot", F.round("dot", 9)).where("dot > 0")
+    ranked = dots.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.col("dot").desc(), "ord")))
+    return ranked.where(F.col("rank") <= k).select("query_id", "key", F.round("dot", 6).alias("score"), "rank")
+
+
 def search(stored: DataFrame, docs: DataFrame, analysed: DataFrame, k: int = 5, **hashing) -> DataFrame:
     """(query_id, key, score, rank): the k best rows of each query by dot product, only positive ones; docs has key and ord."""
     q = vectors(analysed, "query_id", "terms", **hashing).select(F.col("key").alias("query_id"), "bucket", F.col("w").alias("qw"))
