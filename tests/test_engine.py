@@ -140,3 +140,16 @@ def test_search_of_tokens_is_that_of_stored_vectors(spark):
     q = keyword.analyse(spark, [("a", "bootloop boot.img"), ("b", "restore tea"), ("c", "")])
     stored = vectors.search(vectors.vectors(index.docs, "key"), index.docs, q)
     assert sorted(map(tuple, vectors.search_tokens(index.docs, q).collect())) == sorted(map(tuple, stored.collect()))
+
+
+def test_counts_of_nodes_are_the_sizes_of_their_references(spark):
+    posts = entities.with_entities(_posts(spark, "bootloop: restore boot.img with Magisk", "warning: do not install boot.img from sweet", "flash boot.img", ""))
+    for nodes, counts in ((entities.graph_nodes(posts), entities.graph_node_counts(posts)), (claims.claim_nodes(claims.claims(posts)), claims.claim_node_counts(claims.claims(posts)))):
+        columns = ["node_id", "kind", "label", "confidence"]
+        assert sorted(map(tuple, nodes.select(*columns, F.size("source_refs").cast("long")).collect())) == sorted(map(tuple, counts.select(*columns, "refs").collect()))
+
+
+def test_odd_letters_and_blanks_pass_the_quick_tests(spark):
+    assert {("device", "Xİaomi 13T"), ("device", "xıaomi 13t pro")} <= _values(spark, "Xİaomi 13T, xıaomi 13t pro")
+    row = claims.claims(entities.with_entities(_posts(spark, "maybe  now\t\n boot.img  no longer  works"))).first()
+    assert row["evidence"] == "maybe now boot.img no longer works"
