@@ -149,6 +149,14 @@ def test_counts_of_nodes_are_the_sizes_of_their_references(spark):
         assert sorted(map(tuple, nodes.select(*columns, F.size("source_refs").cast("long")).collect())) == sorted(map(tuple, counts.select(*columns, "refs").collect()))
 
 
+def test_sorts_of_relations_are_those_of_the_pairs(spark):
+    rows = claims.claims(entities.with_entities(_posts(spark, "bootloop: restore boot.img with Magisk", "after update the method with boot.img no longer works", "warning: do not install boot.img from sweet", "flash boot.img")))
+    asked = spark.createDataFrame([("u#1",), ("u#2",)], "source_url string")
+    pairs = claims.cross_edges(rows, asked).withColumn("source_url", F.explode("source_urls")).join(asked, "source_url", "left_semi").select("source_url", "kind", "confidence").distinct()
+    got = claims.cross_kinds(rows, asked).collect()
+    assert got and len(got) == len(set(got)) and set(got) == set(pairs.collect())
+
+
 def test_odd_letters_and_blanks_pass_the_quick_tests(spark):
     assert {("device", "Xİaomi 13T"), ("device", "xıaomi 13t pro")} <= _values(spark, "Xİaomi 13T, xıaomi 13t pro")
     row = claims.claims(entities.with_entities(_posts(spark, "maybe  now\t\n boot.img  no longer  works"))).first()

@@ -31,17 +31,21 @@ def intents(analysed: DataFrame, specific: DataFrame) -> DataFrame:
     return q.select("query_id", any_of(ROOT_TERMS).alias("root"), any_of(RECOVERY_TERMS).alias("recovery"), values.alias("values"))
 
 
-def edges_of(results: DataFrame, posts: DataFrame, found: DataFrame) -> DataFrame:
+def edges_of(results: DataFrame, posts: DataFrame, found: DataFrame, across: bool = True) -> DataFrame:
     """(source_url, kind, from_node, to_node, confidence): every relation that names the address of a result, once for each address.
 
     posts have entities, found are their claims. Of relations between claims only those with a claim of a result are made: the results are
-    the side that is broadcast, so the work grows with the claims and not with their square.
+    the side that is broadcast, so the work grows with the claims and not with their square. Where nobody asks which claims are related, across=False
+    gives each sort of relation between claims once for an address, with nodes that name no claim.
     """
     columns = ["source_url", "kind", "from_node", "to_node", "confidence"]
     asked = F.broadcast(results.select("source_url").distinct())
-    across = claims.cross_edges(found, asked).withColumn("source_url", F.explode("source_urls")).join(asked, "source_url", "left_semi")
+    if across:
+        between = claims.cross_edges(found, asked).withColumn("source_url", F.explode("source_urls")).join(asked, "source_url", "left_semi")
+    else:
+        between = claims.cross_kinds(found, asked).withColumns({c: F.lit("claim:") for c in ("from_node", "to_node")})
     own = entities.relations(posts.join(asked, "source_url", "left_semi")).select(*columns).unionByName(claims.claim_edges(found.join(asked, "source_url", "left_semi")).select(*columns))
-    return own.unionByName(across.select(*columns))
+    return own.unionByName(between.select(*columns))
 
 
 def context_edges(results: DataFrame, edges: DataFrame) -> DataFrame:
