@@ -55,11 +55,15 @@ class Index:
         return Index(*(spark.read.parquet(f"{path}/{n}") for n in ("units", "docs", "corpus", "postings")))
 
 
+def tokenised(units: DataFrame, key: str = "post_id") -> DataFrame:
+    """(key, ord, len, tokens) of units with title, text and ord, for one reader: nothing is stored."""
+    return once(units.withColumn("key", F.col(key)), "tokens", T.tokens(F.trim(F.concat_ws(" ", "title", "text")))).select("key", "ord", F.size("tokens").alias("len"), "tokens")
+
+
 def build(units: DataFrame, key: str = "post_id") -> Index:
     """Index of units with title, text and ord, by one of their columns. Tokens are found once and stored, without the texts."""
-    units = units.withColumn("key", F.col(key))
-    docs = stored(once(units, "tokens", T.tokens(F.trim(F.concat_ws(" ", "title", "text")))).select("key", "ord", F.size("tokens").alias("len"), "tokens"))
-    return Index(units, docs, docs.agg(F.count("*").alias("doc_count"), F.avg(F.greatest(F.lit(1), "len")).alias("avg_len")))
+    docs = stored(tokenised(units, key))
+    return Index(units.withColumn("key", F.col(key)), docs, docs.agg(F.count("*").alias("doc_count"), F.avg(F.greatest(F.lit(1), "len")).alias("avg_len")))
 
 
 def analyse(spark: SparkSession, queries: Sequence[tuple[str, str]]) -> DataFrame:

@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 DIMENSIONS = 256
 _SEPARATORS = str.maketrans("", "", "_-.")
+#: Weights of features in twentieths, by the length of their letters; 0: whole tokens.
+_PARTS, _NAMES = {0: 20, 3: 6, 4: 9}, {0: "tok:", 3: "tri:", 4: "quad:"}
 
-
-#: Tokens whose hashed features a worker keeps.
-KEPT = 200_000
+#: Tokens, and parts of tokens, whose hashes a worker keeps; rows and tokens that it counts at a time, and its rows' different tokens.
+KEPT, ROWS, TOKENS, PAIRS = 200_000, 512, 400_000, 100_000
 
 
 def _number(feature: str, family: str) -> int:
@@ -26,39 +29,89 @@ def _number(feature: str, family: str) -> int:
     return int(hashlib.md5(raw).hexdigest()[:8], 16) if family == "md5" else int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "big") & 0xFFFFFFFF
 
 
-def _token_counts(token: str, dimensions: int, family: str) -> tuple[np.ndarray, np.ndarray]:
-    """Of a token's features: slots, by sort and bucket, and signs."""
-    plain = token.translate(_SEPARATORS)
-    names = [(0, "tok:" + token)]
-    names += [(1, "tri:" + plain[i : i + 3]) for i in range(len(plain) - 2)] if len(plain) >= 5 else []
-    names += [(2, "quad:" + plain[i : i + 4]) for i in range(len(plain) - 3)] if len(plain) >= 7 else []
-    numbers = [_number(n, family) for _, n in names]
-    return np.array([k * dimensions + n % dimensions for (k, _), n in zip(names, numbers)]), np.array([1 if n % 2 else -1 for n in numbers])
-
-
-def _weights(batches: Iterator[pa.RecordBatch], column: int, dimensions: int, family: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-    """Some rows at a time: those, and of the unit vectors of the tokens in one of their columns the rows' places, buckets and weights."""
-    hashed: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+class _Parts(dict):
+    """A feature as one number, by its three or four letters: 64 times its bucket, and its signed weight with 32 added."""
+
+    def __init__(self, dimensions: int, family: str) -> None:
+        self.dimensions, self.family = dimensions, family
+
+    def made(self, text: str, size: int) -> int:
+        n = _number(_NAMES[size] + text, self.family)
+        return 64 * (n % self.dimensions) + 32 + (_PARTS[size] if n % 2 else -_PARTS[size])
+
+    def __missing__(self, text: str) -> int:
+        got = self.made(text, len(text))
+        if len(self) < KEPT:
+            self[text] = got
+        return got
+
+
+class _Tokens(dict):
+    """The features of a token, each as one number of _Parts."""
+
+    def __init__(self, dimensions: int, family: str) -> None:
+        self.parts = _Parts(dimensions, family)
+
+    def __missing__(self, token: str) -> np.ndarray:
+        plain, parts = token.translate(_SEPARATORS), self.parts
+        made = [parts.made(token, 0)]
+        if len(plain) >= 5:
+            made += [parts[plain[i : i + 3]] for i in range(len(plain) - 2)]
+        if len(plain) >= 7:
+            made += [parts[plain[i : i + 4]] for i in range(len(plain) - 3)]
+        got = np.array(made, np.int32 if parts.dimensions < 1 << 25 else np.int64)
+        if len(self) < KEPT:
+            self[token] = got
+        return got
+
+
+@cache
+def _hashed(dimensions: int, family: str) -> _Tokens:
+    """What a worker keeps from one task to the next."""
+    return _Tokens(dimensions, family)
+
+
+def _sums(lists: pa.ListArray, dimensions: int, family: str) -> np.ndarray:
+    """Of each list of tokens the sums of its features' weights by bucket, in twentieths: whole numbers, so weights of 1, 0.3 and 0.45 cancel out."""
+    sums = np.zeros(len(lists) * dimensions)
+    coded = lists.flatten().dictionary_encode()
+    if not len(coded):
+        return sums.reshape(len(lists), dimensions)
+    row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    hashed, tokens = _hashed(dimensions, family), coded.dictionary.to_pylist()
+    features = [hashed[t] for t in tokens]
+    size = np.fromiter(map(len, features), np.int64, len(features))
+    first, flat = np.cumsum(size) - size, np.concatenate(features)
+    pairs, times = np.unique(row * len(tokens) + coded.indices.to_numpy(), return_counts=True)
+    for at in range(0, len(pairs), PAIRS):
+        row, token = np.divmod(pairs[at : at + PAIRS], len(tokens))
+        n = size[token]
+        found = flat[np.repeat(first[token] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        sums += np.bincount(np.repeat(row * dimensions, n) + found // 64, (found % 64 - 32) * np.repeat(times[at : at + PAIRS], n), len(sums))
+    return sums.reshape(len(lists), dimensions)
+
+
+def _rounded(w: np.ndarray) -> np.ndarray:
+    """To 6 places, halves of the decimal figure away from zero, as round() does."""
+    scaled = np.abs(w) * 1e6
+    out = np.copysign(np.floor(scaled + 0.5) / 1e6, w)
+    for i in np.argwhere(np.abs(scaled % 1 - 0.5) < 1e-6):  # the product may be on the other side
+        out[*i] = float(Decimal(repr(float(w[*i]))).quantize(Decimal("0.000001"), ROUND_HALF_UP))
+    return out
+
+
+def _weights(batches: Iterator[pa.RecordBatch], column: int, dimensions: int, family: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Some rows at a time: those, and the unit vectors of the tokens in one of their columns, rounded to 6 places."""
     for b in batches:
-        for at in range(0, b.num_rows, 512):
-            part = b.slice(at, 512)
-            place, bucket, weight = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-            for i, toks in enumerate(part.column(column)):
-                found = []
-                for t, n in Counter(toks.as_py() or ()).items():
-                    if (got := hashed.get(t)) is None:
-                        got = _token_counts(t, dimensions, family)
-                        if len(hashed) < KEPT:
-                            hashed[t] = got
-                    found.append((got[0], got[1] * n))
-                if found:
-                    sums = np.bincount(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), 3 * dimensions).reshape(3, dimensions)
-                    w = (20 * sums[0] + 6 * sums[1] + 9 * sums[2]) / 20  # whole numbers until here, so weights of 1, 0.3 and 0.45 cancel out
-                    used = np.flatnonzero(w)
-                    place.append(np.full(len(used), i))
-                    bucket.append(used)
-                    weight.append(w[used] / (np.sqrt((w * w).sum()) or 1.0))
-            yield part, np.concatenate(place), np.concatenate(bucket), np.concatenate(weight)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(b.column(column)), 0).to_numpy())
+        at = 0
+        while at < b.num_rows:
+            most = np.searchsorted(ends, (ends[at - 1] if at else 0) + TOKENS, "right")
+            part = b.slice(at, max(1, min(int(most) - at, ROWS)))
+            at += part.num_rows
+            w = _sums(part.column(column), dimensions, family) / 20
+            norm = np.sqrt((w * w).sum(axis=1, keepdims=True))
+            yield part, _rounded(w / np.where(norm > 0, norm, 1.0))
 
 
 def vectors(rows: DataFrame, key: str, tokens: str = "tokens", dimensions: int = DIMENSIONS, family: str = "md5") -> DataFrame:
@@ -66,16 +119,16 @@ def vectors(rows: DataFrame, key: str, tokens: str = "tokens", dimensions: int =
 
     A feature's bucket and sign come from a hash number's remainder and lowest bit; family is 'md5' or 'blake2b'. Only the lowest 32 bits of the
     latter are kept, which is the same for dimensions that are powers of two. All features of a row are in it, so nothing is shuffled:
-    an Arrow function sums them, with the hashes of the commonest tokens at hand.
+    an Arrow function sums them for some hundred rows at once, with the hashes of many tokens at hand.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, place, bucket, weight in _weights(batches, 1, dimensions, family):
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(place, pa.int64())), pa.array(bucket.astype(np.int32)), pa.array(weight)], names=["key", "bucket", "w"])
+        for b, w in _weights(batches, 1, dimensions, family):
+            row, bucket = np.nonzero(w)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(bucket.astype(np.int32)), pa.array(w[row, bucket])], names=["key", "bucket", "w"])
 
     kind = rows.schema[key].dataType.simpleString()
-    found = rows.select(F.col(key).alias("key"), F.col(tokens)).mapInArrow(run, f"key {kind}, bucket int, w double")
-    return found.withColumn("w", F.round("w", 6)).where("w <> 0")
+    return rows.select(F.col(key).alias("key"), F.col(tokens)).mapInArrow(run, f"key {kind}, bucket int, w double")
 
 
 def search_tokens(docs: DataFrame, analysed: DataFrame, k: int = 5, dimensions: int = DIMENSIONS, family: str = "md5") -> DataFrame:
@@ -90,9 +143,7 @@ def search_tokens(docs: DataFrame, analysed: DataFrame, k: int = 5, dimensions:
         matrix[r["bucket"], names.index(r["key"])] = r["w"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, place, bucket, weight in _weights(batches, 2, dimensions, family):
-            w = np.zeros((b.num_rows, dimensions))
-            w[place, bucket] = np.copysign(np.floor(np.abs(weight) * 1e6 + 0.5), weight) / 1e6
+        for b, w in _weights(batches, 2, dimensions, family):
             dots = w @ matrix
             row, query = np.nonzero(dots > 0)
             row = pa.array(row, pa.int64())
